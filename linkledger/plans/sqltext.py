@@ -103,3 +103,101 @@ def derived_priority_expr(url: str, names: str, parent: str) -> str:
 
 
 KEYWORDS_SQL = ", ".join(q(k) for k in RELEVANCE_KEYWORDS)
+
+
+# ------------------------------------------------------------------ page text (regex form of the profile)
+
+def unescape(x: str) -> str:
+    out = x
+    for ent, ch in (("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&lt;", "<"), ("&gt;", ">"),
+                    ("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", " ")):
+        out = f"replace({out}, '{ent}', '{ch}')"
+    return f"replace({out}, '&amp;', '&')"
+
+
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^[\\s\\pZ]+|[\\s\\pZ]+$', '', 'g')"
+
+
+def pieces(x: str) -> str:
+    """Stripped, decoded, non-empty text pieces between tags."""
+    return (f"list_filter(list_transform(string_split_regex({x}, '<[^>]*>'), lambda t: {strip(unescape('t'))}),"
+            f" lambda t: t <> '')")
+
+
+def page_ctes(src: str = "pages", p: str = "prof") -> str:
+    """CTE ``p`` (page_id, url, has_body, text, text_concat_len, title, headers, hrefs)."""
+    clean = ("regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script\\s*>', ' ', 'g'),"
+             " '(?is)<style\\b[^>]*>.*?</style\\s*>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g')")
+    anchors = "'(?i)<a\\s[^>]*href=\"([^\"]*)\"'"
+    return f"""{p}0 AS (SELECT page_id, url, html, {clean} AS h0 FROM {src}),
+{p}1 AS (SELECT page_id, url, regexp_matches(html, '(?i)<body[\\s>/]') AS has_body, {pieces('h0')} AS pcs,
+                 CASE WHEN regexp_matches(h0, '(?is)<title[^>]*>') THEN
+                   array_to_string({pieces("regexp_extract(h0, '(?is)<title[^>]*>(.*?)</title', 1)")}, '') END AS title,
+                 list_transform(list_concat(regexp_extract_all(h0, '(?is)<h1[^>]*>(.*?)</h1\\s*>', 1),
+                                            regexp_extract_all(h0, '(?is)<h2[^>]*>(.*?)</h2\\s*>', 1),
+                                            regexp_extract_all(h0, '(?is)<h3[^>]*>(.*?)</h3\\s*>', 1)),
+                                lambda h: array_to_string({pieces('h')}, '')) AS headers,
+                 list_concat(regexp_extract_all(regexp_extract(h0, '(?is)<nav[^>]*>(.*?)</nav\\s*>', 1), {anchors}, 1),
+                             regexp_extract_all(regexp_extract(h0, '(?is)<main[^>]*>(.*?)</main\\s*>', 1), {anchors}, 1),
+                             flatten(list_transform(regexp_extract_all(h0, '(?is)<div[^>]*>(.*?)</div\\s*>', 1),
+                                                    lambda dv: regexp_extract_all(dv, {anchors}, 1))),
+                             flatten(list_transform(regexp_extract_all(h0, '(?is)<h[1-3][^>]*>(.*?)</h[1-3]\\s*>', 1),
+                                                    lambda hv: regexp_extract_all(hv, {anchors}, 1)))) AS hrefs
+          FROM {p}0),
+{p} AS (SELECT page_id, url, has_body, array_to_string(pcs, ' ') AS text, length(array_to_string(pcs, '')) AS text_concat_len,
+                title, headers, list_transform(hrefs, lambda x: {unescape('x')}) AS hrefs FROM {p}1)"""
+
+
+def tokens_joined(x: str) -> str:
+    return (f"array_to_string(list_filter(string_split(regexp_replace(lower({x}), '[^\\pL\\pN]+', ' ', 'g'), ' '),"
+            f" lambda w: w <> ''), ' ')")
+
+
+def trigrams(x: str) -> str:
+    words = f"list_filter(string_split(regexp_replace(lower({x}), '[^\\pL\\pN]+', ' ', 'g'), ' '), lambda w: w <> '')"
+    return (f"list_distinct(flatten(list_transform({words}, lambda w: list_transform(range(1, length(w) + 2),"
+            f" lambda i: substr('  ' || w || ' ', i, 3)))))")
+
+
+def sim(a: str, b: str) -> str:
+    i = f"len(list_intersect({a}, {b}))"
+    return (f"CASE WHEN len({a}) + len({b}) - {i} > 0 THEN CAST(CAST({i} / (len({a}) + len({b}) - {i}) AS FLOAT) AS DOUBLE)"
+            f" ELSE {d(0)} END")
+
+
+def vocab_ents_ctes(prof: str = "prof") -> str:
+    """Extractor vocabulary (all titles) and entity table (titles of even page ids)."""
+    return f"""vocab AS (SELECT DISTINCT title AS name, {tokens_joined('title')} AS tj FROM {prof}
+          WHERE title IS NOT NULL AND {tokens_joined('title')} <> ''),
+ents AS (SELECT min(page_id) AS entity_id, title AS name FROM {prof} WHERE page_id % 2 = 0 AND title IS NOT NULL GROUP BY title)"""
+
+
+def names_ctes(docs: str, t: str = "") -> str:
+    """Spotting + resolution over ``docs`` (page_id, text): spotted{t}, resolved{t}, pm{t}."""
+    return f"""ptok{t} AS (SELECT page_id, ' ' || {tokens_joined('text')} || ' ' AS pt FROM {docs}),
+spotted{t} AS (SELECT DISTINCT p.page_id, v.name AS mention FROM ptok{t} p JOIN vocab v ON contains(p.pt, ' ' || v.tj || ' ')),
+ms{t} AS (SELECT DISTINCT mention FROM spotted{t}),
+ex{t} AS (SELECT ms.mention, min(e.entity_id) AS entity_id FROM ms{t} ms JOIN ents e ON e.name = ms.mention GROUP BY ms.mention),
+fzc{t} AS (SELECT ms.mention, e.entity_id, e.name, {sim(trigrams('ms.mention'), trigrams('e.name'))} AS c
+        FROM ms{t} ms, ents e WHERE ms.mention NOT IN (SELECT mention FROM ex{t})),
+fz{t} AS (SELECT mention, arg_max(entity_id, (c, -entity_id)) AS entity_id, arg_max(name, (c, -entity_id)) AS name
+       FROM fzc{t} WHERE c > {d(0.75)} GROUP BY mention),
+resolved{t} AS (SELECT ms.mention, coalesce(ex.entity_id, fz.entity_id) AS entity_id,
+                    CASE WHEN ex.entity_id IS NOT NULL THEN ms.mention ELSE fz.name END AS matched_name,
+                    coalesce(ex.entity_id, fz.entity_id) IS NOT NULL AS accepted
+             FROM ms{t} ms LEFT JOIN ex{t} ex USING (mention) LEFT JOIN fz{t} fz USING (mention)),
+pm{t} AS (SELECT s.page_id, coalesce(list_sort(list_distinct(list(r.matched_name) FILTER (WHERE r.accepted))), []::VARCHAR[]) AS names,
+              coalesce(list_sort(list(s.mention) FILTER (WHERE NOT r.accepted)), []::VARCHAR[]) AS rejected
+       FROM spotted{t} s JOIN resolved{t} r USING (mention) GROUP BY s.page_id)"""
+
+
+def relevance_expr(lt: str, lh: str, names: str, parent: str) -> str:
+    from ..functions.scoring import RELEVANCE_KEYWORDS as _K
+    kw = ", ".join(q(k) for k in _K)
+    hs = (f"(CASE WHEN len({names}) > 0 THEN len(list_filter({names}, lambda r: len(list_filter({lh}, lambda h: contains(h, lower(r)))) > 0))"
+          f" / len({names}) ELSE {d(0)} END)")
+    ls = f"least(length({lt}) / {d(3000)}, {d(1)})"
+    ks = f"least(len(list_filter([{kw}], lambda k: contains({lt}, k))) / {d(5)}, {d(1)})"
+    return (f"least({d(1)}, greatest({d(0)}, {d(0.2)} * {hs} + {d(0.2)} * {ls} + {d(0.3)} * {ks}"
+            f" + {d(0.3)} * ({parent} / {d(100)})))")
