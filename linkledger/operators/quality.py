@@ -107,10 +107,10 @@ def quality_fold(
     level = chunk_t
     for _ in range(levels):
         level = (
-            level.withColumn("chunk", F.floor(F.col("chunk") / F.lit(fan_in)).cast("long"))
-            .groupBy("domain", "chunk")
+            level.withColumn("parent", F.floor(F.col("chunk") / F.lit(fan_in)).cast("long"))
+            .groupBy("domain", "parent")
             .agg(F.sort_array(F.collect_list(F.struct(F.col("chunk").alias("c"), F.col("t")))).alias("l"))
-            .select("domain", "chunk", _fold_sorted(F.transform("l", lambda e: e["t"])).alias("t"))
+            .select("domain", F.col("parent").alias("chunk"), _fold_sorted(F.transform("l", lambda e: e["t"])).alias("t"))
         )
     final = level.groupBy("domain").agg(
         _fold_sorted(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "t"))), lambda e: e["t"])).alias("t")

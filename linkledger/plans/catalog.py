@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import q_ingest, q_pages, q_rank, q_round, q_urls  # noqa: F401
+from . import q_ingest, q_pages, q_rank, q_round, q_stream, q_urls  # noqa: F401
 from .registry import ROUND
 
 
