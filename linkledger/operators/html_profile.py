@@ -173,6 +173,11 @@ def profile_pages(pages: DataFrame, key_cols: list[str], html_col: str = "html")
     The html column is consumed here and is not carried further."""
     keys = list(key_cols)
     src = pages.select(*keys, html_col)
+    # the Python parse is the costly stage: give it at least one task per core.
+    # A large input already has many splits, so this never adds a shuffle there.
+    par = src.sparkSession.sparkContext.defaultParallelism
+    if src.rdd.getNumPartitions() < par:
+        src = src.repartition(par)
     key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields if f.name in keys)
     schema = f"{key_schema}, {PROFILE_SCHEMA}"
 

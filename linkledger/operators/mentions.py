@@ -26,23 +26,33 @@ def tokens(s) -> Column:
 
 def spot_gazetteer(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "text",
                    name_col: str = "name") -> DataFrame:
-    """(key, text) x gazetteer(name) -> distinct (key, mention)."""
+    """(key, text) x gazetteer(name) -> distinct (key, mention).
+
+    Page n-grams are generated as 64-bit hashes of token slices (no strings), for
+    the name lengths that exist only, and probed against the hashed names; the
+    few hits are then verified exactly against the page tokens."""
     g = (gazetteer.select(F.col(name_col).alias("mention")).where(F.col("mention").isNotNull()).distinct()
          .withColumn("tok", tokens("mention")).where(F.size("tok") > 0)
-         .select("mention", F.size("tok").alias("k"), F.array_join("tok", " ").alias("gram")))
+         .select("mention", "tok", F.size("tok").alias("k"), F.xxhash64("tok").alias("h")))
     # the set of name lengths in tokens is small (bounded by the longest name)
     lens = sorted(r["k"] for r in g.select("k").distinct().collect())
     if not lens:
         return docs.select(key, F.lit(None).cast("string").alias("mention")).where(F.lit(False))
     d = docs.select(key, tokens(text_col).alias("tok")).withColumn("nt", F.size("tok"))
+
     def grams_of_len(k: int) -> Column:
         def gram_at(i):
-            return F.struct(F.lit(k).alias("k"), F.array_join(F.slice("tok", i, k), " ").alias("gram"))
+            return F.struct(F.lit(k).alias("k"), i.alias("i"), F.xxhash64(F.slice("tok", i, k)).alias("h"))
         return (F.when(F.col("nt") >= k, F.transform(F.sequence(F.lit(1), F.col("nt") - k + 1), gram_at))
-                .otherwise(F.array().cast("array<struct<k:int,gram:string>>")))
-
-    per_len = [grams_of_len(k) for k in lens]
-    grams = d.select(key, F.explode(F.flatten(F.array(*per_len))).alias("g")).select(key, "g.k", "g.gram")
-    if bounded_count(g, BROADCAST_MAX_ROWS) is not None:
-        g = F.broadcast(g)
-    return grams.join(g, ["k", "gram"]).select(key, "mention").distinct()
+                .otherwise(F.array().cast("array<struct<k:int,i:int,h:bigint>>")))
+
+    grams = (d.select(key, F.explode(F.flatten(F.array(*[grams_of_len(k) for k in lens]))).alias("g"))
+             .select(key, "g.k", "g.i", "g.h"))
+    gk = g.select("k", "h", "mention", F.col("tok").alias("ntok"))
+    if bounded_count(gk, BROADCAST_MAX_ROWS) is not None:
+        gk = F.broadcast(gk)
+    hits = grams.join(gk, ["k", "h"])
+    # exact check of the hits against the page tokens (hits are few)
+    verified = (hits.join(d.select(key, "tok"), key)
+                .where(F.slice("tok", F.col("i"), F.col("k")) == F.col("ntok")))
+    return verified.select(key, "mention").distinct()

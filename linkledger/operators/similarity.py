@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.trigram import similarity_of_sets, trigrams
-from ..session import bounded_count
+from ..session import bounded_count, cut_lineage
 
 BROADCAST_MAX_ROWS = 2_000_000
 _EPS = 1e-9
@@ -46,10 +46,11 @@ def fuzzy_best_match(mentions: DataFrame, gazetteer: DataFrame, threshold: float
 
     ``gazetteer``: (entity_id, name, address). Returns (mention, entity_id,
     matched_name, address, confidence); mentions without such a match are absent."""
-    m = (mentions.select(F.col(mention_col).alias("mention")).where(F.col("mention").isNotNull()).distinct()
-         .withColumn("tg", trigrams("mention")).withColumn("n", F.size("tg")).where("n > 0"))
-    g = (gazetteer.select("entity_id", "name", "address")
-         .withColumn("tg", trigrams("name")).withColumn("n", F.size("tg")).where("n > 0"))
+    # one row per distinct string; both sides are read three times below
+    m = cut_lineage(mentions.select(F.col(mention_col).alias("mention")).where(F.col("mention").isNotNull()).distinct()
+                    .withColumn("tg", trigrams("mention")).withColumn("n", F.size("tg")).where("n > 0"))
+    g = cut_lineage(gazetteer.select("entity_id", "name", "address")
+                    .withColumn("tg", trigrams("name")).withColumn("n", F.size("tg")).where("n > 0"))
 
     freq = (m.select(F.explode("tg").alias("tg")).unionAll(g.select(F.explode("tg").alias("tg")))
             .groupBy("tg").agg(F.count(F.lit(1)).alias("df")))
@@ -69,7 +70,10 @@ def fuzzy_best_match(mentions: DataFrame, gazetteer: DataFrame, threshold: float
     gs = g.select("entity_id", "name", "address", F.col("tg").alias("gtg"))
     if bounded_count(gs, BROADCAST_MAX_ROWS) is not None:
         gs = F.broadcast(gs)
-    scored = (cand.join(m.select("mention", F.col("tg").alias("mtg")), "mention")
+    ms = m.select("mention", F.col("tg").alias("mtg"))
+    if bounded_count(ms, BROADCAST_MAX_ROWS) is not None:
+        ms = F.broadcast(ms)
+    scored = (cand.join(ms, "mention")
               .join(gs, "entity_id")
               .select("mention", "entity_id", "name", "address",
                       similarity_of_sets("mtg", "gtg").alias("confidence")))

@@ -48,7 +48,7 @@ def title_entities(prof):
 def page_names(spark, sf, prof=None):
     """(page_id, names, rejected) from spotting + resolution."""
     prof = profiled(spark, sf) if prof is None else prof
-    spotted = spot_gazetteer(prof.select("page_id", "text"), title_vocabulary(prof), "page_id")
+    spotted = cut_lineage(spot_gazetteer(prof.select("page_id", "text"), title_vocabulary(prof), "page_id"))
     resolved = resolve_mentions(spotted.select("mention"), title_entities(prof))
     return page_mentions(spotted, resolved, "page_id")
 

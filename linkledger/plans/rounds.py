@@ -66,7 +66,7 @@ def run_round(state: GraphState, discovered: DataFrame, fetched: DataFrame, extr
     queue_next = queue_remove(queue_update(st.url_queue, demoted, "url_id"), gone, "url_id")
 
     # transform
-    mentions = extractor(good.select("url_id", "text"))
+    mentions = cut_lineage(extractor(good.select("url_id", "text")))
     resolved = resolve_mentions(mentions.select("mention"), st.entity)
     per_page = page_mentions(mentions, resolved, "url_id")
     pin = (good.select("url_id", "full_url", F.col("priority_int").alias("parent_priority"), "drain_rank")
