@@ -241,3 +241,23 @@ def q_derived_links(spark, sf):
     links = pg.page_links(pg.meaningful(prof), "page_id", "full_url")
     out = pg.derived_links(links, pin, "page_id")
     return out.select("page_id", "url", _r(F.col("priority")).alias("priority"), "is_homepage")
+
+
+@register("derived_priority", f"""
+WITH {_NAMES_SQL}, {_BASE_SQL},
+links AS (SELECT DISTINCT page_id, link FROM (SELECT page_id, {_link_sql('h')} AS link FROM base1, unnest(hrefs) AS t(h))
+          WHERE link LIKE 'http%'),
+pin AS (SELECT b.page_id, b._s || '://' || b._n || '/' AS homepage, CAST(b.page_id % 101 AS INTEGER) AS parent,
+               coalesce(pm.names, []) AS names
+        FROM base1 b LEFT JOIN pm USING (page_id) WHERE b.has_body AND b.text_concat_len >= 10)
+SELECT l.page_id, l.link AS url, len(p.names) AS n_names,
+       round({derived_priority_expr('l.link', 'p.names', 'p.parent')}, 9) AS priority
+FROM links l JOIN pin p USING (page_id) WHERE l.link <> p.homepage""")
+def q_derived_priority(spark, sf):
+    """B9 alone: the estimated priority of every non-homepage derived link."""
+    prof = profiled(spark, sf)
+    pin = page_inputs(spark, sf, prof)
+    links = pg.page_links(pg.meaningful(prof), "page_id", "full_url")
+    out = pg.derived_links(links, pin, "page_id").where(~F.col("is_homepage"))
+    return (out.join(pin.select("page_id", F.size("names").alias("n_names")), "page_id")
+            .select("page_id", "url", "n_names", _r(F.col("priority")).alias("priority")))
