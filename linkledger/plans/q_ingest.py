@@ -184,7 +184,7 @@ def q_queue_remove(spark, sf):
 @register("touch_urls", f"""
 WITH {fetched_ctes()},
 seen AS (SELECT DISTINCT {norm_expr()} AS full_url FROM ({url_parts('pages', 'url')}) WHERE page_id % 2 = 0)
-SELECT f.full_url, CASE WHEN s.full_url IS NOT NULL THEN TIMESTAMP '{AS_OF}' END AS last_crawled
+SELECT f.full_url, CASE WHEN s.full_url IS NOT NULL THEN strftime(TIMESTAMP '{AS_OF}', '%Y-%m-%d %H:%M:%S') END AS last_crawled
 FROM fetched f LEFT JOIN seen s USING (full_url)""")
 def q_touch_urls(spark, sf):
     f = inputs.fetched_pages(spark, sf, with_html=False)
@@ -192,7 +192,8 @@ def q_touch_urls(spark, sf):
                    F.lit(None).cast("timestamp").alias("first_seen"), F.lit(None).cast("timestamp").alias("last_crawled"))
     p = inputs.table(spark, sf, "pages", "page_id", "url")
     seen = p.where(F.col("page_id") % 2 == 0).select(urls.normalize_url("url").alias("full_url"))
-    return stt.touch_urls(url, seen, AS_OF).select("full_url", "last_crawled")
+    out = stt.touch_urls(url, seen, AS_OF)
+    return out.select("full_url", F.date_format("last_crawled", "yyyy-MM-dd HH:mm:ss").alias("last_crawled"))
 
 
 # ------------------------------------------------------------------ D5, H7
