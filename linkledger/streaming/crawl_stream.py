@@ -52,3 +52,31 @@ def validate_stream(spark: SparkSession, source: DataFrame, to_discovered: ToDis
     q.awaitTermination()
     v = latest_version(spark, state_base)
     return read_state(spark, state_base, v) if v is not None else (initial or empty_state(spark))
+
+
+def round_stream(spark: SparkSession, source: DataFrame, to_discovered: ToDiscovered, fetched: DataFrame,
+                 extractor, state_base: str, checkpoint: str, as_of: str,
+                 initial: GraphState | None = None, feedback_dir: str | None = None) -> GraphState:
+    """Every micro-batch of discovered URLs runs a whole crawl round
+    (validate, extract, transform, load) against the last committed snapshot.
+    The round's feedback (derived links) is appended to ``feedback_dir`` as
+    parquet, where it can be landed as the input of a later run."""
+    from ..plans.rounds import run_round
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        done = latest_version(spark, state_base)
+        if done is not None and done >= batch_id + 1:
+            return
+        prev = read_state(spark, state_base, done) if done is not None else (
+            initial if initial is not None else empty_state(spark))
+        out = run_round(prev, to_discovered(batch), fetched, extractor, as_of)
+        if feedback_dir is not None:
+            out.feedback.select("seq", "url", "relevance").write.mode("overwrite").parquet(
+                f"{feedback_dir.rstrip('/')}/batch={batch_id}")
+        write_state(out.state, state_base, batch_id + 1)
+
+    q = (source.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    v = latest_version(spark, state_base)
+    return read_state(spark, state_base, v) if v is not None else (initial or empty_state(spark))

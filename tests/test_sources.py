@@ -96,3 +96,37 @@ def test_stream_equals_batch_across_micro_batches(spark, tmp_path):
     exp = {r["domain_name"]: (r["visit_count"], round(r["quality_score"], 9)) for r in batch.domain.collect()}
     assert got == exp
     assert {r["full_url"] for r in st.url.collect()} == {r["full_url"] for r in batch.url.collect()}
+
+
+def test_round_stream_references(spark, tmp_path):
+    from linkledger.plans.rounds import gazetteer_extractor, run_round
+    from linkledger.streaming.crawl_stream import round_stream
+
+    html = ("<html><head><title>{t}</title></head><body><nav><a href='/menu'>m</a></nav>"
+            "<h1>{t}</h1><p>A review of {t} and its chef, with the wine list.</p></body></html>")
+    pages = [("https://food.org/a", 200, html.format(t="Fancy Bistro")),
+             ("https://eat.com/b", 200, html.format(t="Chez Olivia")),
+             ("https://eat.com/c", 503, "")]
+    fetched = spark.createDataFrame(pages, "full_url string, status int, html string")
+    entity = spark.createDataFrame([(1, "Fancy Bistro", "Paris"), (2, "Chez Olivia", None)],
+                                   "entity_id long, name string, address string")
+    vocab = spark.createDataFrame([("Fancy Bistro",), ("Chez Olivia",), ("Le Nope",)], "name string")
+    rows = [(1, "https://food.org/a?x=1", 0.9), (2, "https://eat.com/b", 0.8), (3, "https://eat.com/c", 0.7)]
+    src = tmp_path / "landed"
+    df = spark.createDataFrame(rows, "seq long, url string, relevance double")
+    df.where("seq = 1").coalesce(1).write.parquet(str(src / "b1"))
+    df.where("seq > 1").coalesce(1).write.parquet(str(src / "b2"))
+    stream = (spark.readStream.schema("seq long, url string, relevance double").option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(str(src)))
+    st = round_stream(spark, stream, lambda b: b, fetched, gazetteer_extractor(vocab), str(tmp_path / "state"),
+                      str(tmp_path / "ckpt"), "2024-01-01 00:00:00", initial=empty_state(spark, entity),
+                      feedback_dir=str(tmp_path / "fb"))
+    refs = {(r["entity_id"], r["url_id"]) for r in st.reference.collect()}
+    assert refs == {(1, 1), (2, 2)}
+    # the 503 page stays queued with a decayed priority, parsed pages leave the queue
+    q = st.url_queue.collect()
+    assert [r["url_id"] for r in q] == [3] and q[0]["priority"] == 0.75 and q[0]["priority_int"] == 1
+    batch = run_round(empty_state(spark, entity), df, fetched, gazetteer_extractor(vocab), "2024-01-01 00:00:00")
+    assert {(r["entity_id"], r["url_id"]) for r in batch.references.collect()} == refs
+    fb = spark.read.parquet(str(tmp_path / "fb")).collect()
+    assert {r["url"] for r in fb} >= {"https://food.org/", "https://food.org/menu", "https://eat.com/menu"}
