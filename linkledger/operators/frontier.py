@@ -12,11 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions import scoring, urls
 from .quality import quality_fold
-from ..session import bounded_count
 from .state import GraphState, assign_dense_ids, next_id, touch_urls
 
 SOURCE_TYPE = "webpage"
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 def discovered_events(discovered: DataFrame) -> DataFrame:
@@ -87,12 +85,9 @@ def validate_batch(discovered: DataFrame, state: GraphState, as_of: str,
     new_u, seen_u = split_new_seen(firsts, state.url)
     src_by_domain = source_next.groupBy("domain_id").agg(F.min("source_id").alias("source_id")) \
         .join(domain_next.select("domain_id", F.col("domain_name").alias("domain")), "domain_id")
-    # one row per domain: broadcast when bounded, so a domain owning a third of
-    # the new URLs does not make one join partition
-    sd = src_by_domain.select("domain", "source_id")
-    if bounded_count(sd, BROADCAST_MAX_ROWS) is not None:
-        sd = F.broadcast(sd)
-    new_u = new_u.join(sd, "domain", "left")
+    # one row per domain, itself a shuffle output: AQE broadcasts it from its
+    # measured size, else splits the partition of a domain owning many new URLs
+    new_u = new_u.join(src_by_domain.select("domain", "source_id"), "domain", "left")
     new_u = assign_dense_ids(new_u, ["first_seq"], "url_id", next_id(state.url, "url_id"))
     ts = F.lit(as_of).cast("timestamp")
     url_next = touch_urls(state.url, seen_u.select(F.col("norm_url").alias("full_url")), as_of).unionByName(

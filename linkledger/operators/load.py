@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scoring
-from ..session import bounded_count
 from .resolve import entity_by_name
-from .similarity import BROADCAST_MAX_ROWS
 from .state import assign_dense_ids, queue_upsert
 
 
@@ -18,9 +16,7 @@ def build_references(pages: DataFrame, url_table: DataFrame, entity: DataFrame,
     Returns (entity_id, url_id, relevance, discovered_at)."""
     pu = pages.select("full_url", "relevance", "names").join(url_table.select("url_id", "full_url"), "full_url")
     named = pu.select("url_id", "relevance", F.explode("names").alias("name"))
-    byname = entity_by_name(entity).select("name", "entity_id")
-    if bounded_count(byname, BROADCAST_MAX_ROWS) is not None:
-        byname = F.broadcast(byname)
+    byname = entity_by_name(entity).select("name", "entity_id")   # shuffle output: AQE sizes the join
     return named.join(byname, "name").select(
         "entity_id", "url_id", "relevance", F.lit(as_of).cast("timestamp").alias("discovered_at"))
 

@@ -75,7 +75,9 @@ def bipartite_authority(edges: DataFrame, nodes: DataFrame, iterations: int = 5,
     for i in range(iterations):
         rb = _maybe_broadcast(ranks)
         w = ed.join(rb, "domain").groupBy("item").agg(F.sum(F.col("r") / F.col("dk")).alias("w"))
-        back = ed.join(_maybe_broadcast(w), "item").groupBy("domain").agg(F.sum(F.col("w") / F.col("ik")).alias("s"))
+        # w is a shuffle output: AQE broadcasts it from its measured size, or
+        # splits a hot item's partition with its skew-join handling
+        back = ed.join(w, "item").groupBy("domain").agg(F.sum(F.col("w") / F.col("ik")).alias("s"))
         dm = rb.join(ddeg, "domain", "left_anti").agg(F.coalesce(F.sum("r"), F.lit(0.0)).alias("dm")).first()["dm"]
         ranks = (nd.join(back, "domain", "left")
                  .select("domain", (F.lit((1 - damping) / n)
