@@ -20,15 +20,14 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.state import assign_dense_ids
 from ..session import cut_lineage
-from .common import whole_text
+from .common import map_texts
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -71,24 +70,26 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(_id, piece, start, length, ids_crc32): each document's ids, closed by
     ``end_id``, in pieces of ``length``. ``path`` is the vocabulary file's place on
     the workers; None looks it up there."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         known = ChunkIds(Tokenizer.from_file(path or tokenizer_path()))
         end = end_id.to_bytes(4, "little")
-        for b in batches:
+
+        def pieces(texts: list[str]):
             out = []
-            for key, text in zip(b["_id"], b["_text"]):
+            for row, text in enumerate(texts):
                 ids = known.encode(text) + end
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at:at + 4 * length]
-                    out.append((key, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            yield pd.DataFrame(out, columns=["_id", "piece", "start", "length", "ids_crc32"])
+                    out.append((row, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            rows, piece, at, size, crc = map(list, zip(*out)) if out else ([], [], [], [], [])
+            return rows, [pa.array(piece, pa.int32()), *(pa.array(c, pa.int64()) for c in (at, size, crc))]
+        return pieces
 
-    src = docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text"))
-    return src.mapInPandas(run, f"_id {src.schema['_id'].dataType.simpleString()}, {PIECES}")
+    return map_texts(docs, id_col, text_col, start, PIECES)
 
 
 def plan_slots(counts: dict[int, int], length: int = LENGTH) -> list[tuple[int, int, int, int, int]]:

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chunk_prints import neighbour_likeness
 from .common import read
 from .exact_dedup import exact_classes
 from .mixing import mix_sources
 from .packing import pack
 from .simhash import simhash_components
+from .url_rules import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,6 +46,32 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), length=4096, end_id=1)
 
 
+#: (host, path, verdict)
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+             ("org", "/fr/", "allow")]
+
+
+@query(r"""
+WITH p AS (SELECT page_id, coalesce(CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END, '') AS rest
+           FROM pages),
+u AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+r(rule_host, rule_path, rule, verdict) AS (VALUES ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'),
+             ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow')),
+m AS (SELECT u.page_id, u.host, u.path, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.verdict, length(r.rule)) AS verdict
+      FROM u LEFT JOIN r ON (u.host = r.rule_host OR ends_with(u.host, '.' || r.rule_host)) AND starts_with(u.path, r.rule_path)
+      GROUP BY ALL)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m""")
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(read(spark, sf_dir, "pages"), rules)
+
+
+@query()
+def op8_chunk_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_likeness(read(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)

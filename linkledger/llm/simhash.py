@@ -20,15 +20,12 @@ Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import whole_text
+from .common import map_texts
 from .components import components
 
 SEED = 42
@@ -58,14 +55,10 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, fp long) per row."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fp = np.array([fingerprint(t, shingle) for t in b["_text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"_id": b["_id"], "fp": fp})
-
-    src = docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text"))
-    kind = src.schema["_id"].dataType.simpleString()
-    return src.mapInPandas(run, f"_id {kind}, fp long")
+    def start():
+        return lambda texts: (None, [np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)])
+
+    return map_texts(docs, id_col, text_col, start, "fp long")
 
 
 def _embedding(fp: Column) -> Column:
