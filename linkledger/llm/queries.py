@@ -12,6 +12,7 @@ from .exact_dedup import exact_classes
 from .mixing import mix_sources
 from .packing import pack
 from .simhash import simhash_components
+from .toxicity import toxicity
 from .url_rules import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +37,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_classes(read(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), folds=5)
+
+
 @query()
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"), weights=(5, 2, 1), max_repeat=3)
