@@ -20,7 +20,9 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, insort
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,14 +34,18 @@ from .common import map_texts
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 LENGTH = 4096
-#: Chunks whose ids a task remembers at most; then it starts over.
-REMEMBERED = 1 << 19
+#: Chunks whose ids a worker process remembers at most; then it starts over.
+REMEMBERED = 1 << 20
 #: Runs are broadcast up to this number; a run has five longs.
 BROADCAST_RUNS = 200_000
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
+#: Control characters that split() takes for white space and the tokenizer does not.
+_NOT_BLANK = re.compile("[\x1c-\x1f]")
+
+
 class ChunkIds(dict):
     """White-space-separated chunk -> its ids as little-endian 32-bit bytes. The
     tokenizer drops white space, and nothing it does reaches across it, so ids of a
@@ -50,15 +56,25 @@ class ChunkIds(dict):
         self.tokenizer = tokenizer
 
     def encode(self, text: str) -> bytes:
-        chunks = [c for c in re.split(r"[ \t\r\n]+", text) if c]
+        chunks = [c for c in re.split("[ \t\r\n]+", text) if c] if _NOT_BLANK.search(text) else text.split()
         if len(self) > REMEMBERED:
             self.clear()
-        if new := list({c for c in chunks if c not in self}):
-            for c, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                self[c] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+        if new := [c for c in set(chunks) if c not in self]:
+            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                self[c] = np.array(e.ids, "<u4").tobytes()
         return b"".join(map(self.__getitem__, chunks))
 
 
+@lru_cache(maxsize=1)
+def _chunk_ids(path: str) -> ChunkIds:
+    """One for a worker process, so tasks go on with what earlier ones have met."""
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return ChunkIds(Tokenizer.from_file(path))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -71,11 +87,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``end_id``, in pieces of ``length``. ``path`` is the vocabulary file's place on
     the workers; None looks it up there."""
     def start():
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        known = ChunkIds(Tokenizer.from_file(path or tokenizer_path()))
+        known = _chunk_ids(path or tokenizer_path())
         end = end_id.to_bytes(4, "little")
 
         def pieces(texts: list[str]):
