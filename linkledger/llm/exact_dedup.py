@@ -46,13 +46,16 @@ def exact_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The kept rows of ``docs`` with all their columns, one row for each class."""
+    """The kept rows of ``docs`` with all their columns, one row for each class.
+
+    The join and the last step, which leaves one of rows that repeat, need the same
+    partitioning, so texts move twice in all."""
     norm = one_space(whole_text(text_col))
-    classes = (docs.select(F.col(id_col).alias("_id"), norm.alias("_norm"))
-               .groupBy(content_hash(F.col("_norm")).alias("_h"), "_norm")
-               .agg(F.min("_id").alias("_keep"))
-               .select(F.col("_keep"), F.col("_h").alias("_kept_h")))
-    keyed = docs.withColumn("_h", content_hash(norm))
-    same = F.col(id_col).eqNullSafe(F.col("_keep")) & (F.col("_h") == F.col("_kept_h"))
-    return (keyed.join(classes, same, "left_semi")
-            .dropDuplicates([id_col, "_h"]).drop("_h"))
+    never_null = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit(""))
+    kept = (docs.select(F.col(id_col).alias("_id"), norm.alias("_norm"))
+            .groupBy(content_hash(F.col("_norm")).alias("_h"), "_norm")
+            .agg(F.min("_id").alias("_keep"))
+            .select(F.coalesce(F.concat(F.lit("="), F.col("_keep").cast("string")), F.lit("")).alias("_key"), "_h"))
+    return (docs.withColumn("_key", never_null).withColumn("_h", content_hash(norm))
+            .join(kept, ["_key", "_h"], "left_semi")
+            .dropDuplicates(["_key", "_h"]).drop("_key", "_h"))

@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from .chunk_prints import neighbour_likeness
 from .common import read
 from .exact_dedup import exact_classes
 from .mixing import mix_sources
 from .packing import pack
+from .pseudonyms import pseudonymise
+from .quotation import reply_order
 from .simhash import simhash_components
+from .site_quality import site_quality
 from .toxicity import toxicity
 from .url_rules import judge_urls
 
@@ -73,11 +78,35 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages"), rules)
 
 
+@query()
+def op6_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_order(read(spark, sf_dir, "conversations"))
+
+
+#: The key of the registered query; a pipeline brings its own secret.
+PSEUDONYM_KEY = "linkledger-registered-query"
+
+
+@query()
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(read(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 @query()
 def op8_chunk_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_likeness(read(spark, sf_dir, "documents"))
 
 
+@query()
+def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), folds=5)
+
+
 @query()
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

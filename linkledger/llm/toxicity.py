@@ -268,6 +268,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return whole, *_logistic(seen["x"].to_numpy(), seen["y"].to_numpy())
 
 
+def _scores(texts: list[str], fitted) -> np.ndarray:
+    if isinstance(fitted, float):
+        return np.full(len(texts), fitted)
+    ratio, slope, base = fitted
+    z = np.array([slope * ratio.of(t) + base for t in texts])
+    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic", folds: int = 5, max_labelled: int = MAX_LABELLED,
              max_grams: int = MAX_GRAMS) -> DataFrame:
@@ -276,15 +284,25 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         train(docs, labels, id_col, text_col, label_col, folds, max_labelled, max_grams))
 
     def start():
-        def score(texts: list[str]):
-            if isinstance(held.value, float):
-                return None, [np.full(len(texts), held.value)]
-            ratio, slope, base = held.value
-            z = np.array([slope * ratio.of(t) + base for t in texts])
-            return None, [1 / (1 + np.exp(-np.clip(z, -500, 500)))]
-        return score
+        return lambda texts: (None, [_scores(texts, held.value)])
 
     scored = map_texts(docs, id_col, text_col, start, "score double")
     return scored.select(F.col("_id").alias(id_col),
                          (F.coalesce(hash_fold("_id", folds), F.lit(0)) == 0).alias("held_out"),
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               label_col: str = "toxic", folds: int = 5, max_labelled: int = MAX_LABELLED,
+               max_grams: int = MAX_GRAMS) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, with all their columns. Rows
+    are scored where they are read, so nothing is shuffled."""
+    held = docs.sparkSession.sparkContext.broadcast(
+        train(docs, labels, id_col, text_col, label_col, folds, max_labelled, max_grams))
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [t or "" for t in b.column(text_col).to_pylist()]
+            yield b.filter(pa.array(_scores(texts, held.value) < 0.5))
+
+    return docs.mapInArrow(clean, docs.schema)
