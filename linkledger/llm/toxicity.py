@@ -255,9 +255,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         out = {r["gram"]: sum(r[f"n{half}{label}"] for half in halves) for r in rows}
         return {g: n for g, n in out.items() if n}
 
-    for label in (0, 1):
-        if not counts(label, (0, 1)):
-            return 1.0 - label
+    if not counts(1, (0, 1)):
+        return 0.0
+    if not counts(0, (0, 1)):
+        return 1.0
     shared = {r["gram"]: r["n"] for r in corpus_counts(docs, text_col).orderBy(F.col("n").desc(), "gram")
               .limit(max_grams).collect()}
     whole, *half = (Ratio(KneserNey(counts(1, part), shared), KneserNey(counts(0, part), shared))
