@@ -73,7 +73,7 @@ def _tilt(lam, size, scale, max_repeat: int):
 def balance(hist: DataFrame, targets: DataFrame, max_repeat: int = 3, tolerance: float = 1e-7,
             max_rounds: int = 60) -> DataFrame:
     """(_src, _lam, _scale): the dual solution. ``hist``: (_src, size, n)."""
-    scale = hist.groupBy("_src").agg(
+    scale = hist.where("size > 0").groupBy("_src").agg(
         (F.sum((F.col("n") * F.col("size") * F.col("size")).cast(EXACT)).cast("double")
          / F.sum(F.col("n") * F.col("size"))).alias("_scale"))
     state = cut_lineage(targets.where("source_size > 0").join(scale, "_src").select(
