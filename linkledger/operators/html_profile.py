@@ -7,9 +7,12 @@ template and ruby-annotation containers, comments and declarations is left
 out; character references are decoded. Everything after the parse (filters,
 link resolution, scores) is Spark SQL over the returned struct.
 
-Output columns: has_body, text (stripped strings joined by one space),
-text_concat_len (length of the stripped strings joined without separator),
-title, headers array<struct<tag, text>>, links array<struct<href, section>>
+A page that the parser refuses gives an empty profile with parse_error set, so it
+costs its own row only.
+
+Output columns: has_body, text (stripped strings joined by one space), raw_text
+(all strings as they stand, joined without separator), text_concat_len (length of
+the stripped strings joined without separator), parse_error, title, headers array<struct<tag, text>>, links array<struct<href, section>>
 (section: innermost link-bearing section around the anchor, NULL outside one).
 """
 
@@ -32,7 +35,7 @@ ALWAYS_SECTION_TAGS = frozenset(["div", "h1", "h2", "h3"])
 FIRST_ONLY_SECTION_TAGS = frozenset(["main", "nav"])
 
 PROFILE_SCHEMA = (
-    "has_body boolean, text string, text_concat_len int, title string, "
+    "has_body boolean, text string, raw_text string, text_concat_len int, parse_error boolean, title string, "
     "headers array<struct<tag:string,text:string>>, links array<struct<href:string,section:string>>"
 )
 
@@ -44,6 +47,7 @@ class _Profiler(HTMLParser):
         self.hidden = 0
         self.buf: list[str] = []
         self.pieces: list[str] = []
+        self.raw: list[str] = []
         self.concat_len = 0
         self.has_body = False
         self.seen_first: set[str] = set()
@@ -60,6 +64,7 @@ class _Profiler(HTMLParser):
         self.buf = []
         if self.hidden:
             return
+        self.raw.append(s)
         st = s.strip()
         if not st:
             return
@@ -153,41 +158,45 @@ class _Profiler(HTMLParser):
         return {
             "has_body": self.has_body,
             "text": " ".join(self.pieces),
+            "raw_text": "".join(self.raw),
             "text_concat_len": self.concat_len,
+            "parse_error": False,
             "title": self.title,
             "headers": self.headers,
             "links": self.links,
         }
 
 
+def _empty(parse_error: bool) -> dict:
+    return {"has_body": False, "text": "", "raw_text": "", "text_concat_len": 0, "parse_error": parse_error, "title": None,
+            "headers": [], "links": []}
+
+
 def profile_html(html: str | None) -> dict:
     if html is None:
-        return {"has_body": False, "text": "", "text_concat_len": 0, "title": None, "headers": [], "links": []}
+        return _empty(False)
     p = _Profiler()
-    p.feed(html)
-    return p.finish()
+    try:
+        p.feed(html)
+        return p.finish()
+    except (AssertionError, ValueError, IndexError):      # what the parser raises on markup that it cannot follow
+        return _empty(True)
 
 
 def profile_pages(pages: DataFrame, key_cols: list[str], html_col: str = "html") -> DataFrame:
     """Run the profile over a pages DataFrame; returns key_cols + profile columns.
-    The html column is consumed here and is not carried further."""
+    The html column is consumed where it is read and is not carried further."""
     keys = list(key_cols)
     src = pages.select(*keys, html_col)
-    # the Python parse is the costly stage: give it at least one task per core.
-    # A large input already has many splits, so this never adds a shuffle there.
-    par = src.sparkSession.sparkContext.defaultParallelism
-    if src.rdd.getNumPartitions() < par:
-        src = src.repartition(par)
     key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields if f.name in keys)
-    schema = f"{key_schema}, {PROFILE_SCHEMA}"
+    columns = ["has_body", "text", "raw_text", "text_concat_len", "parse_error", "title", "headers", "links"]
 
     def run(batches):
         for pdf in batches:
             prof = [profile_html(h) for h in pdf[html_col]]
             out = pdf[keys].copy()
-            for col in ("has_body", "text", "text_concat_len", "title", "headers", "links"):
+            for col in columns:
                 out[col] = [p[col] for p in prof]
             yield out
 
-    return src.mapInPandas(run, schema)
-
+    return src.mapInPandas(run, f"{key_schema}, {PROFILE_SCHEMA}")

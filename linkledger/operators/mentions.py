@@ -5,8 +5,9 @@ DataFrame of (key, mention) can be passed to the page stage, for instance a
 ``mapInPandas`` model that is loaded once per Python worker. The built-in one
 spots gazetteer names: page text and names are cut into the same lower-cased
 letter/digit tokens, page token n-grams of every length that occurs among the
-names are generated in the JVM and equi-joined on (length, n-gram text); a hit
-emits the gazetteer name as the mention (distinct per page)."""
+names are generated in the JVM and equi-joined on length and hashes; a hit emits
+the gazetteer name as the mention (distinct per page). ``spot_capitalised`` needs no
+gazetteer."""
 
 from __future__ import annotations
 
@@ -14,9 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.trigram import WORD_SPLIT
-from ..session import bounded_count
-
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 def tokens(s) -> Column:
@@ -28,31 +26,38 @@ def spot_gazetteer(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: st
                    name_col: str = "name") -> DataFrame:
     """(key, text) x gazetteer(name) -> distinct (key, mention).
 
-    Page n-grams are generated as 64-bit hashes of token slices (no strings), for
-    the name lengths that exist only, and probed against the hashed names; the
-    few hits are then verified exactly against the page tokens."""
-    g = (gazetteer.select(F.col(name_col).alias("mention")).where(F.col("mention").isNotNull()).distinct()
-         .withColumn("tok", tokens("mention")).where(F.size("tok") > 0)
-         .select("mention", "tok", F.size("tok").alias("k"), F.xxhash64("tok").alias("h")))
+    Page n-grams are generated as 128-bit hashes of token slices (no strings), for
+    the name lengths that exist only, and joined with the hashed names. Two
+    independent 64-bit hashes and the number of tokens must agree, so the page's
+    tokens need not be met again."""
+    g = (gazetteer.select(F.col(name_col).alias("_mention")).where(F.col("_mention").isNotNull()).distinct()
+         .withColumn("_tok", tokens("_mention")).where(F.size("_tok") > 0)
+         .select("_mention", F.size("_tok").alias("_k"), *_slice_hashes(F.col("_tok"))))
     # the set of name lengths in tokens is small (bounded by the longest name)
-    lens = sorted(r["k"] for r in g.select("k").distinct().collect())
+    lens = sorted(r["_k"] for r in g.select("_k").distinct().collect())
     if not lens:
         return docs.select(key, F.lit(None).cast("string").alias("mention")).where(F.lit(False))
-    d = docs.select(key, tokens(text_col).alias("tok")).withColumn("nt", F.size("tok"))
-
-    def grams_of_len(k: int) -> Column:
-        def gram_at(i):
-            return F.struct(F.lit(k).alias("k"), i.alias("i"), F.xxhash64(F.slice("tok", i, k)).alias("h"))
-        return (F.when(F.col("nt") >= k, F.transform(F.sequence(F.lit(1), F.col("nt") - k + 1), gram_at))
-                .otherwise(F.array().cast("array<struct<k:int,i:int,h:bigint>>")))
-
-    grams = (d.select(key, F.explode(F.flatten(F.array(*[grams_of_len(k) for k in lens]))).alias("g"))
-             .select(key, "g.k", "g.i", "g.h"))
-    gk = g.select("k", "h", "mention", F.col("tok").alias("ntok"))
-    if bounded_count(gk, BROADCAST_MAX_ROWS) is not None:
-        gk = F.broadcast(gk)
-    hits = grams.join(gk, ["k", "h"])
-    # exact check of the hits against the page tokens (hits are few)
-    verified = (hits.join(d.select(key, "tok"), key)
-                .where(F.slice("tok", F.col("i"), F.col("k")) == F.col("ntok")))
-    return verified.select(key, "mention").distinct()
+    d = docs.select(F.col(key).alias("_key"), tokens(text_col).alias("_tok"))
+    starts = (d.withColumn("_k", F.explode(F.array(*map(F.lit, lens)))).where(F.size("_tok") >= F.col("_k"))
+              .withColumn("_i", F.explode(F.sequence(F.lit(1), F.size("_tok") - F.col("_k") + 1))))
+    grams = starts.select("_key", "_k", *_slice_hashes(F.slice("_tok", F.col("_i"), F.col("_k"))))
+    return (grams.join(g, ["_k", "_h1", "_h2"]).select(F.col("_key").alias(key), F.col("_mention").alias("mention")).distinct())
+
+
+def _slice_hashes(toks: Column) -> list[Column]:
+    return [F.xxhash64(toks).alias("_h1"), F.xxhash64(F.lit("second"), toks).alias("_h2")]
+
+
+#: A capitalised word, and what may stand between two of them inside one name.
+CAPITALISED = r"\p{Lu}[\p{L}\p{N}'’&-]*"
+PHRASE = rf"{CAPITALISED}(?: (?:(?:of|the|de|la|le|du|des|and|et|&) )?{CAPITALISED})*"
+
+
+def spot_capitalised(docs: DataFrame, key: str, text_col: str = "text", min_words: int = 2) -> DataFrame:
+    """(key, text) -> distinct (key, mention): maximal runs of capitalised words on one
+    line, joined by blanks or a short connecting word, of at least ``min_words``
+    words. It needs no vocabulary, so it finds names outside the gazetteer."""
+    spans = F.regexp_extract_all(F.col(text_col), F.lit(PHRASE), F.lit(0))
+    return (docs.select(F.col(key).alias("_key"), F.explode(spans).alias("_mention"))
+            .where(F.size(F.split("_mention", " ")) >= min_words)
+            .select(F.col("_key").alias(key), F.col("_mention").alias("mention")).distinct())

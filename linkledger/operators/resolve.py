@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import bounded_count
-from .similarity import BROADCAST_MAX_ROWS, fuzzy_best_match
+from .similarity import fuzzy_best_match
 
 FUZZY_THRESHOLD = 0.75
 
@@ -21,8 +20,6 @@ def entity_by_name(entity: DataFrame) -> DataFrame:
 def exact_match(mentions: DataFrame, entity: DataFrame, mention_col: str = "mention") -> DataFrame:
     """Case-sensitive name equality; (mention, entity_id) or NULL id."""
     byname = entity_by_name(entity)
-    if bounded_count(byname, BROADCAST_MAX_ROWS) is not None:
-        byname = F.broadcast(byname)
     m = mentions.select(F.col(mention_col).alias("mention")).distinct()
     return m.join(byname.select(F.col("name").alias("mention"), "entity_id"), "mention", "left")
 

@@ -8,10 +8,11 @@ their sizes satisfy ``t*|A| <= |B| <= |A|/t``. Candidates come from an equi-join
 on prefix trigrams; every candidate is verified exactly; the best one per
 mention is kept with a map-side partial ``max_by`` (ties: lowest id).
 
-Scale: mentions are deduplicated first. The gazetteer side is broadcast only
-behind a row-count bound; beyond it the prefix join shuffles on trigram and
-adaptive skew-join handling splits hot trigram partitions. Candidate pairs are
-generated per mention partition, never collected per trigram group.
+A pair is produced once, by its first shared prefix trigram, and only if what
+the two sets still hold from that place on can reach the threshold (positional
+filter). Scale: mentions are deduplicated first. All joins are sized by adaptive
+execution from measured shuffle output, which also splits the partition of a hot
+trigram; candidate pairs are never collected per trigram group.
 """
 
 from __future__ import annotations
@@ -20,9 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.trigram import similarity_of_sets, trigrams
-from ..session import bounded_count, cut_lineage
+from ..session import cut_lineage
 
-BROADCAST_MAX_ROWS = 2_000_000
 _EPS = 1e-9
 
 
@@ -32,11 +32,12 @@ def _prefix_len(n, t: float):
 
 
 def _ordered_prefix(sets: DataFrame, key: str, freq: DataFrame, t: float) -> DataFrame:
+    """One row for each prefix trigram: (key, n, pre: the prefix, i: 0-based place, tg)."""
     ex = sets.select(key, "n", F.explode("tg").alias("tg"))
     ranked = ex.join(freq, "tg")
     per = ranked.groupBy(key, "n").agg(F.sort_array(F.collect_list(F.struct("df", "tg"))).alias("o"))
-    return per.select(key, "n", F.explode(F.slice("o", 1, _prefix_len(F.col("n"), t).cast("int"))).alias("p")) \
-        .select(key, "n", F.col("p.tg").alias("tg"))
+    pre = F.transform(F.slice("o", 1, _prefix_len(F.col("n"), t).cast("int")), lambda x: x["tg"])
+    return per.select(key, "n", pre.alias("pre")).select(key, "n", "pre", F.posexplode("pre").alias("i", "tg"))
 
 
 def fuzzy_best_match(mentions: DataFrame, gazetteer: DataFrame, threshold: float = 0.75,
@@ -54,25 +55,19 @@ def fuzzy_best_match(mentions: DataFrame, gazetteer: DataFrame, threshold: float
 
     freq = (m.select(F.explode("tg").alias("tg")).unionAll(g.select(F.explode("tg").alias("tg")))
             .groupBy("tg").agg(F.count(F.lit(1)).alias("df")))
-    if bounded_count(freq, BROADCAST_MAX_ROWS) is not None:
-        freq = F.broadcast(freq)
 
     mp = _ordered_prefix(m, "mention", freq, threshold)
-    gp = _ordered_prefix(g.select("entity_id", "tg", "n"), "entity_id", freq, threshold) \
-        .withColumnRenamed("n", "gn")
-    if bounded_count(gp, BROADCAST_MAX_ROWS) is not None:
-        gp = F.broadcast(gp)
+    gp = _ordered_prefix(g.select("entity_id", "tg", "n"), "entity_id", freq, threshold).select(
+        "entity_id", "tg", F.col("n").alias("gn"), F.col("pre").alias("gpre"), F.col("i").alias("gi"))
     lo = threshold - _EPS
-    cand = (mp.join(gp, "tg")
-            .where((F.col("gn") >= F.col("n") * F.lit(lo)) & (F.col("n") >= F.col("gn") * F.lit(lo)))
-            .select("mention", "entity_id").distinct())
+    sizes = (F.col("gn") >= F.col("n") * F.lit(lo)) & (F.col("n") >= F.col("gn") * F.lit(lo))
+    reach = F.least(F.col("n") - F.col("i"), F.col("gn") - F.col("gi"))     # this trigram and all after it
+    enough = reach >= F.lit(threshold / (1 + threshold)) * (F.col("n") + F.col("gn")) - F.lit(_EPS)
+    first = ~F.arrays_overlap(F.slice("pre", F.lit(1), F.col("i")), F.slice("gpre", F.lit(1), F.col("gi")))
+    cand = mp.join(gp, "tg").where(sizes & enough & first).select("mention", "entity_id")
 
     gs = g.select("entity_id", "name", "address", F.col("tg").alias("gtg"))
-    if bounded_count(gs, BROADCAST_MAX_ROWS) is not None:
-        gs = F.broadcast(gs)
     ms = m.select("mention", F.col("tg").alias("mtg"))
-    if bounded_count(ms, BROADCAST_MAX_ROWS) is not None:
-        ms = F.broadcast(ms)
     scored = (cand.join(ms, "mention")
               .join(gs, "entity_id")
               .select("mention", "entity_id", "name", "address",

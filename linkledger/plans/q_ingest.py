@@ -65,18 +65,18 @@ def q_search_queries(spark, sf):
 def responses(spark, sf):
     """Search responses landed as JSON text, built from the pages table: response
     r = page_id div 20 holds those URLs, r belongs to seed r div 2 as query
-    r mod 2 + 1; every seventh response lacks the ``web`` key."""
+    r mod 2 + 1. Every seventh response comes once more without the ``web`` key."""
     p = inputs.table(spark, sf, "pages", "page_id", "url").withColumn("r", F.floor(F.col("page_id") / RESPONSE_SIZE))
     grouped = p.groupBy("r").agg(F.collect_list(F.struct("url")).alias("results"))   # <= 20 per group
-    body = F.when(F.col("r") % 7 == 3, F.lit("{}")).otherwise(
-        F.to_json(F.struct(F.struct(F.col("results").alias("results")).alias("web"))))
-    return grouped.select((F.floor(F.col("r") / 2)).alias("pos"), (F.col("r") % 2 + 1).alias("query_idx"),
-                          body.alias("body"))
+    full = grouped.withColumn("body", F.to_json(F.struct(F.struct("results").alias("web"))))
+    bare = grouped.where(F.col("r") % 7 == 3).withColumn("body", F.lit("{}"))
+    return full.unionByName(bare).select((F.floor(F.col("r") / 2)).alias("pos"), (F.col("r") % 2 + 1).alias("query_idx"),
+                                         "body")
 
 
 _HITS_SQL = f"""hits AS (SELECT CAST(floor(floor(page_id / {RESPONSE_SIZE}) / 2) AS BIGINT) AS pos,
                      CAST(floor(page_id / {RESPONSE_SIZE}) % 2 + 1 AS BIGINT) AS query_idx, url
-              FROM pages WHERE floor(page_id / {RESPONSE_SIZE}) % 7 <> 3)"""
+              FROM pages)"""
 
 
 @register("hits_per_query", f"""

@@ -21,28 +21,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("LINKLEDGER_DRIVER_MEMORY", "16g"))
-        .getOrCreate()
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if os.environ.get("LINKLEDGER_DRIVER_MEMORY"):
+        spark = spark.config("spark.driver.memory", os.environ["LINKLEDGER_DRIVER_MEMORY"])
+    spark = spark.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    """The cluster's shared ``spark.checkpoint.dir``. Only a local master may go
+    without one; it gets a fresh scratch folder."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-        return conf_dir
-    local = tempfile.mkdtemp(prefix="linkledger-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
+        shared = tempfile.mkdtemp(prefix="linkledger-ckpt-")
+    spark.sparkContext.setCheckpointDir(shared)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -50,10 +51,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def bounded_count(df: DataFrame, limit: int) -> int | None:
-    """Row count if it is at most ``limit`` (reads at most limit+1 rows), else None.
-
-    Used to prove a size bound before a broadcast hint."""
-    n = df.limit(limit + 1).count()
-    return n if n <= limit else None
