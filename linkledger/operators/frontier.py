@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scoring, urls
+from ..session import cut_lineage
 from .quality import quality_fold
 from .state import GraphState, assign_dense_ids, next_id, touch_urls
 
@@ -59,8 +60,10 @@ def validate_batch(discovered: DataFrame, state: GraphState, as_of: str,
 
     # domains: visits and ordered quality fold, new ones get ids by first sighting
     dstate = state.domain.select(F.col("domain_name").alias("domain"), "visit_count", "quality_score")
-    folded = quality_fold(ev.select("domain", "seq", "relevance"), dstate, **(quality_kwargs or {}))
-    dom_first = ev.groupBy("domain").agg(F.min("seq").alias("first_seq"))
+    # the batch is read twice, for the fold and for the first sightings; all four tables follow from these two
+    folded = cut_lineage(quality_fold(ev.select("domain", "seq", "relevance"), dstate, **(quality_kwargs or {})))
+    firsts = cut_lineage(frontier_scores(first_sightings(ev)))
+    dom_first = firsts.groupBy("domain").agg(F.min("first_seq").alias("first_seq"))
     new_dom = folded.where("is_new").join(dom_first, "domain").select(
         F.col("domain").alias("domain_name"), "visit_count", "quality_score", "first_seq")
     new_dom = assign_dense_ids(new_dom, ["first_seq"], "domain_id", next_id(state.domain, "domain_id"))
@@ -81,7 +84,6 @@ def validate_batch(discovered: DataFrame, state: GraphState, as_of: str,
     source_next = state.source.unionByName(new_src.select("source_id", "domain_id", "source_type"))
 
     # urls: first sighting decides insert vs touch; priority from its relevance
-    firsts = frontier_scores(first_sightings(ev))
     new_u, seen_u = split_new_seen(firsts, state.url)
     src_by_domain = source_next.groupBy("domain_id").agg(F.min("source_id").alias("source_id")) \
         .join(domain_next.select("domain_id", F.col("domain_name").alias("domain")), "domain_id")
@@ -112,13 +114,20 @@ def status_action(status) -> Column:
     )
 
 
-def route_fetched(frontier: DataFrame, fetched: DataFrame) -> DataFrame:
+def one_fetch(fetched: DataFrame, order_col: str) -> DataFrame:
+    """(full_url, status, order_col): of repeated fetches of a URL the first by
+    ``order_col``. Only these three columns are read, never the page itself."""
+    return (fetched.groupBy("full_url").agg(F.min_by(F.struct("status", order_col), F.col(order_col)).alias("_f"))
+            .select("full_url", "_f.*"))
+
+
+def route_fetched(frontier: DataFrame, fetched: DataFrame, order_col: str) -> DataFrame:
     """Attach each frontier URL's fetch result and action.
 
-    ``frontier``: (url_id, full_url, priority_int); ``fetched``: (full_url, status, html).
-    A frontier URL without a fetch row counts as no response."""
-    f = fetched.select("full_url", "status", "html")
-    return frontier.join(f, "full_url", "left").withColumn("action", status_action("status")).withColumn(
+    ``frontier``: (url_id, full_url, priority_int); ``fetched``: (full_url, status,
+    ``order_col``), any number of rows a URL. A frontier URL without a fetch row
+    counts as no response."""
+    return frontier.join(one_fetch(fetched, order_col), "full_url", "left").withColumn("action", status_action("status")).withColumn(
         "new_priority", F.when(F.col("action") == "demote", scoring.decayed_priority("priority_int")))
 
 

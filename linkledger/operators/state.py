@@ -10,6 +10,7 @@ next table; nothing is mutated in place. Tables (all DataFrames):
     reference  (entity_id long, url_id long, relevance double, discovered_at timestamp)
     url_queue  (url_id long, priority double, priority_int int)
     entity_queue (name string, priority double, priority_int int)
+    sequence   (next_seq long)   one row at most: the number that the next fed-back URL gets
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ SCHEMAS = {
     "reference": "entity_id long, url_id long, relevance double, discovered_at timestamp",
     "url_queue": "url_id long, priority double, priority_int int",
     "entity_queue": "name string, priority double, priority_int int",
+    "sequence": "next_seq long",
 }
 
 
@@ -41,6 +43,7 @@ class GraphState:
     reference: DataFrame
     url_queue: DataFrame
     entity_queue: DataFrame
+    sequence: DataFrame
 
     def with_(self, **kw) -> "GraphState":
         return replace(self, **kw)
@@ -106,6 +109,8 @@ def insert_if_absent(table: DataFrame, batch: DataFrame, key: list[str], id_col:
         has_null = has_null | F.col(k).isNull()
     plain = batch.where(~has_null)
     if order_col is None:
+        if rest:
+            raise ValueError(f"an order column must say which row of a repeated key gives {rest}")
         plain = plain.dropDuplicates(key)
     else:
         plain = (plain.groupBy(*key).agg(F.min_by(F.struct(*rest), F.col(order_col)).alias("_r"))
@@ -133,10 +138,12 @@ def queue_upsert(queue: DataFrame, batch: DataFrame, key: str, seq_col: str = "s
     )
 
 
-def queue_update(queue: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """H4: new priority for keys present in the queue; absent keys have no effect."""
+def queue_update(queue: DataFrame, batch: DataFrame, key: str, seq_col: str | None = None) -> DataFrame:
+    """H4: new priority for keys present in the queue; absent keys have no effect. Of a
+    key's rows in one batch the last by ``seq_col`` wins, the highest without one."""
     prio_cols = [c for c in queue.columns if c != key]
-    b = batch.select(key, *[F.col(c).alias(f"_new_{c}") for c in prio_cols]).dropDuplicates([key])
+    new = F.struct(*[F.col(c).alias(f"_new_{c}") for c in prio_cols])
+    b = batch.groupBy(key).agg((F.max_by(new, F.col(seq_col)) if seq_col else F.max(new)).alias("_r")).select(key, "_r.*")
     j = queue.join(b, key, "left")
     return j.select(key, *[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) for c in prio_cols])
 
@@ -190,8 +197,10 @@ def constraint_report(state: GraphState) -> DataFrame:
         ("reference.relevance_range", cnt(r, (F.col("relevance") < 0) | (F.col("relevance") > 1))),
         ("url_queue.priority_range", cnt(uq, (F.col("priority_int") < 0) | (F.col("priority_int") > 100))),
         ("url_queue.url_id_unique", dup(uq, ["url_id"])),
+        ("url_queue.url_id_not_null", cnt(uq, F.col("url_id").isNull())),
         ("entity_queue.priority_range", cnt(eq, (F.col("priority_int") < 0) | (F.col("priority_int") > 100))),
         ("entity_queue.name_unique", dup(eq, ["name"])),
+        ("entity_queue.name_not_null", cnt(eq, F.col("name").isNull())),
     ]
     out = None
     for name, df in rules:
@@ -200,6 +209,17 @@ def constraint_report(state: GraphState) -> DataFrame:
     return out
 
 
+class ConstraintError(ValueError):
+    """A state that breaks its rules; the message names each rule and its count."""
+
+
+def check_constraints(state: GraphState) -> None:
+    """Raise if a rule is broken (one row a rule reaches the driver)."""
+    broken = constraint_report(state).where("violations > 0").collect()
+    if broken:
+        raise ConstraintError(", ".join(f"{r['rule']}: {r['violations']}" for r in broken))
+
+
 # ---------------------------------------------------------------- D8
 
 def cascade_delete(state: GraphState, domains: DataFrame | None = None,

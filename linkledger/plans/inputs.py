@@ -3,7 +3,7 @@
 discovered URLs  every page URL twice: seq = page_id with relevance
                  ((page_id*7) % 11)/10 (seed scale), then seq = page_id + 1e12
                  with ((page_id*3) % 11)/2.5 (a second sighting, larger scale)
-fetched pages    one page per normalized URL (lowest page_id), status
+fetched pages    every page; of repeated URLs the lowest page_id counts; status
                  0->404, 1->503, 2->no response, 3->403, 4->501, else 200 by page_id % 10
 parent priority  page_id % 101
 gazetteer        customers with even custkey (entity_id = custkey, address = nation)
@@ -49,13 +49,10 @@ def parent_priority(page_id) -> F.Column:
 
 
 def fetched_pages(spark: SparkSession, sf_dir: str, with_html: bool = True) -> DataFrame:
+    """Every landed page as a fetch; a URL that landed more than once has more rows."""
     cols = ["page_id", "url", "html"] if with_html else ["page_id", "url"]
     p = table(spark, sf_dir, "pages", *cols).withColumn("full_url", urls.normalize_url("url"))
-    keep = [c for c in cols if c != "page_id"]
-    one = (p.groupBy("full_url")
-           .agg(F.min_by(F.struct("page_id", *keep), F.col("page_id")).alias("_p"))
-           .select("full_url", "_p.*"))
-    return one.withColumn("status", fetch_status("page_id")).withColumn("parent_priority", parent_priority("page_id"))
+    return p.withColumn("status", fetch_status("page_id")).withColumn("parent_priority", parent_priority("page_id"))
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scoring, urls
 from ..operators import state as stt
+from ..operators.frontier import one_fetch
 from ..sources import search as srch
 from ..sources.seeds import seed_batch
 from . import inputs
@@ -101,7 +102,8 @@ def q_search_hits(spark, sf):
 WITH {fetched_ctes()}
 SELECT full_url, page_id, status, parent_priority FROM fetched""")
 def q_page_scan(spark, sf):
-    return inputs.fetched_pages(spark, sf, with_html=False).select("full_url", "page_id", "status", "parent_priority")
+    one = one_fetch(inputs.fetched_pages(spark, sf, with_html=False), "page_id")
+    return one.select("full_url", "page_id", "status", inputs.parent_priority("page_id").alias("parent_priority"))
 
 
 # ------------------------------------------------------------------ A4, H1
@@ -187,7 +189,7 @@ seen AS (SELECT DISTINCT {norm_expr()} AS full_url FROM ({url_parts('pages', 'ur
 SELECT f.full_url, CASE WHEN s.full_url IS NOT NULL THEN strftime(TIMESTAMP '{AS_OF}', '%Y-%m-%d %H:%M:%S') END AS last_crawled
 FROM fetched f LEFT JOIN seen s USING (full_url)""")
 def q_touch_urls(spark, sf):
-    f = inputs.fetched_pages(spark, sf, with_html=False)
+    f = one_fetch(inputs.fetched_pages(spark, sf, with_html=False), "page_id")
     url = f.select(F.col("page_id").alias("url_id"), F.lit(None).cast("long").alias("source_id"), "full_url",
                    F.lit(None).cast("timestamp").alias("first_seen"), F.lit(None).cast("timestamp").alias("last_crawled"))
     p = inputs.table(spark, sf, "pages", "page_id", "url")
@@ -216,35 +218,100 @@ def q_domain_lookup(spark, sf):
 
 @register("cascade_delete", f"""
 WITH {_FRONTIER_SQL}, {_DOMAIN_IDS_SQL},
-gone AS (SELECT domain FROM dids WHERE domain LIKE 'blog.%'),
-u AS (SELECT f.url_id FROM frontier f JOIN firsts fi ON fi.norm_url = f.full_url WHERE fi.domain NOT IN (SELECT domain FROM gone))
-SELECT 'domain' AS tbl, count(*) AS n FROM dids WHERE domain NOT IN (SELECT domain FROM gone)
-UNION ALL SELECT 'source', count(*) FROM dids WHERE domain NOT IN (SELECT domain FROM gone)
-UNION ALL SELECT 'url', count(*) FROM u
-UNION ALL SELECT 'url_queue', count(*) FROM u""")
+kept AS (SELECT domain, domain_id FROM dids WHERE domain NOT LIKE 'blog.%'),
+u AS (SELECT f.url_id, f.full_url, k.domain_id FROM frontier f JOIN firsts fi ON fi.norm_url = f.full_url JOIN kept k ON k.domain = fi.domain),
+r AS (SELECT c.c_custkey AS entity_id, f.url_id FROM customer c JOIN frontier f ON f.url_id = c.c_custkey % 40 + 1)
+SELECT 'domain' AS tbl, domain_id AS a, domain AS b FROM kept
+UNION ALL SELECT 'source', domain_id, CAST(domain_id AS VARCHAR) FROM kept
+UNION ALL SELECT 'url', url_id, full_url FROM u
+UNION ALL SELECT 'url_queue', url_id, NULL FROM u
+UNION ALL SELECT 'entity', c_custkey, c_name FROM customer WHERE c_custkey % 3 <> 0
+UNION ALL SELECT 'reference', r.entity_id, CAST(r.url_id AS VARCHAR) FROM r JOIN u USING (url_id) WHERE r.entity_id % 3 <> 0""")
 def q_cascade_delete(spark, sf):
+    """The keys that are left in all six tables after deleting domains and entities."""
     st, _ = validated(spark, sf)
-    doomed = st.domain.where(F.col("domain_name").startswith("blog.")).select("domain_name")
-    after = stt.cascade_delete(st, domains=doomed)
-    parts = [("domain", after.domain), ("source", after.source), ("url", after.url), ("url_queue", after.url_queue)]
+    c = inputs.table(spark, sf, "customer", "c_custkey", "c_name")
+    key = F.col("c_custkey")
+    st = st.with_(
+        entity=c.select(key.alias("entity_id"), F.col("c_name").alias("name"), F.lit(None).cast("string").alias("address")),
+        reference=c.select(key.alias("entity_id"), (key % 40 + 1).alias("url_id"), F.lit(0.5).alias("relevance"),
+                           F.lit(AS_OF).cast("timestamp").alias("discovered_at"))
+        .join(st.url.select("url_id"), "url_id", "left_semi"))
+    after = stt.cascade_delete(st, domains=st.domain.where(F.col("domain_name").startswith("blog.")).select("domain_name"),
+                               entities=st.entity.where("entity_id % 3 = 0").select("entity_id"))
+    parts = [("domain", after.domain, "domain_id", "domain_name"), ("source", after.source, "domain_id", "domain_id"),
+             ("url", after.url, "url_id", "full_url"), ("url_queue", after.url_queue, "url_id", None),
+             ("entity", after.entity, "entity_id", "name"), ("reference", after.reference, "entity_id", "url_id")]
     out = None
-    for name, df in parts:
-        c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("tbl"), "n")
-        out = c if out is None else out.unionByName(c)
+    for name, df, a, b in parts:
+        rows = df.select(F.lit(name).alias("tbl"), F.col(a).cast("long").alias("a"),
+                         (F.col(b) if b else F.lit(None)).cast("string").alias("b"))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
 # ------------------------------------------------------------------ H8
 
-@register("constraint_report", f"""
-WITH {_FRONTIER_SQL}, {_DOMAIN_IDS_SQL},
-q AS (SELECT domain, {d(0)} AS dummy FROM dids)
-SELECT rule, CAST(0 AS BIGINT) AS violations FROM (VALUES
-  ('domain.quality_range'), ('domain.name_not_null'), ('domain.name_unique'), ('source.type_not_null'),
-  ('source.domain_type_unique'), ('entity.name_not_null'), ('entity.name_address_unique'),
-  ('url.full_url_not_null'), ('url.full_url_unique'), ('reference.relevance_range'),
-  ('url_queue.priority_range'), ('url_queue.url_id_unique'), ('entity_queue.priority_range'),
-  ('entity_queue.name_unique')) AS t(rule)""")
+# Tables with planted violations: keys taken modulo, so that names repeat, and
+# values that leave their range for some keys.
+_PLANTED_SQL = """dom AS (SELECT page_id AS domain_id, CASE WHEN page_id % 13 <> 0 THEN 'd' || (page_id % 50) END AS domain_name,
+                 (page_id % 31 - 15) / 12.0 AS quality_score FROM pages),
+src AS (SELECT page_id AS source_id, page_id % 40 AS domain_id, CASE WHEN page_id % 9 <> 0 THEN 't' || (page_id % 2) END AS source_type FROM pages),
+ent AS (SELECT c_custkey AS entity_id, CASE WHEN c_custkey % 17 <> 0 THEN 'n' || (c_custkey % 60) END AS name,
+               CASE WHEN c_custkey % 5 <> 0 THEN 'a' || (c_custkey % 3) END AS address FROM customer),
+u AS (SELECT page_id AS url_id, CASE WHEN page_id % 11 <> 0 THEN url END AS full_url FROM pages
+      UNION ALL SELECT page_id, url FROM pages WHERE page_id % 4 = 0),
+ref AS (SELECT c_custkey AS entity_id, (c_custkey % 23 - 4) / 15.0 AS relevance FROM customer),
+uq AS (SELECT CASE WHEN page_id % 19 <> 0 THEN page_id % 70 END AS url_id, page_id % 120 - 10 AS priority_int FROM pages),
+eq AS (SELECT CASE WHEN c_custkey % 29 <> 0 THEN 'n' || (c_custkey % 80) END AS name, c_custkey % 110 - 4 AS priority_int FROM customer)"""
+
+
+def _planted(spark, sf):
+    p = inputs.table(spark, sf, "pages", "page_id", "url")
+    c = inputs.table(spark, sf, "customer", "c_custkey")
+    k, e = F.col("page_id"), F.col("c_custkey")
+
+    def named(prefix, key, n):
+        return F.concat(F.lit(prefix), (key % n).cast("string"))
+
+    st = stt.empty_state(spark)
+    return st.with_(
+        domain=p.select(k.alias("domain_id"), F.when(k % 13 != 0, named("d", k, 50)).alias("domain_name"),
+                        F.lit(0).cast("long").alias("visit_count"), ((k % 31 - 15) / 12.0).alias("quality_score")),
+        source=p.select(k.alias("source_id"), (k % 40).alias("domain_id"), F.when(k % 9 != 0, named("t", k, 2)).alias("source_type")),
+        entity=c.select(e.alias("entity_id"), F.when(e % 17 != 0, named("n", e, 60)).alias("name"),
+                        F.when(e % 5 != 0, named("a", e, 3)).alias("address")),
+        url=p.select(k.alias("url_id"), F.when(k % 11 != 0, F.col("url")).alias("full_url")).unionByName(
+            p.where(k % 4 == 0).select(k.alias("url_id"), F.col("url").alias("full_url"))),
+        reference=c.select(e.alias("entity_id"), ((e % 23 - 4) / 15.0).alias("relevance")),
+        url_queue=p.select(F.when(k % 19 != 0, k % 70).alias("url_id"), (k % 120 - 10).alias("priority_int")),
+        entity_queue=c.select(F.when(e % 29 != 0, named("n", e, 80)).alias("name"), (e % 110 - 4).alias("priority_int")))
+
+
+def _dup_sql(rule: str, table: str, *keys: str) -> str:
+    known = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    return (f"SELECT '{rule}' AS rule, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS violations "
+            f"FROM (SELECT count(*) AS n FROM {table} WHERE {known} GROUP BY {', '.join(keys)})")
+
+
+def _count_sql(rule: str, table: str, broken: str) -> str:
+    return f"SELECT '{rule}' AS rule, count(*) AS violations FROM {table} WHERE {broken}"
+
+
+_RULES_SQL = " UNION ALL ".join([
+    _count_sql("domain.quality_range", "dom", "quality_score < -1 OR quality_score > 1"),
+    _count_sql("domain.name_not_null", "dom", "domain_name IS NULL"), _dup_sql("domain.name_unique", "dom", "domain_name"),
+    _count_sql("source.type_not_null", "src", "source_type IS NULL"),
+    _dup_sql("source.domain_type_unique", "src", "domain_id", "source_type"),
+    _count_sql("entity.name_not_null", "ent", "name IS NULL"), _dup_sql("entity.name_address_unique", "ent", "name", "address"),
+    _count_sql("url.full_url_not_null", "u", "full_url IS NULL"), _dup_sql("url.full_url_unique", "u", "full_url"),
+    _count_sql("reference.relevance_range", "ref", "relevance < 0 OR relevance > 1"),
+    _count_sql("url_queue.priority_range", "uq", "priority_int < 0 OR priority_int > 100"),
+    _dup_sql("url_queue.url_id_unique", "uq", "url_id"), _count_sql("url_queue.url_id_not_null", "uq", "url_id IS NULL"),
+    _count_sql("entity_queue.priority_range", "eq", "priority_int < 0 OR priority_int > 100"),
+    _dup_sql("entity_queue.name_unique", "eq", "name"), _count_sql("entity_queue.name_not_null", "eq", "name IS NULL")])
+
+
+@register("constraint_report", f"WITH {_PLANTED_SQL} {_RULES_SQL}")
 def q_constraint_report(spark, sf):
-    st, _ = validated(spark, sf)
-    return stt.constraint_report(st.with_(entity=inputs.gazetteer(spark, sf)))
+    return stt.constraint_report(_planted(spark, sf))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import trigram, urls
 from ..operators import pages as pg
 from ..operators.html_profile import profile_pages
-from ..operators.mentions import spot_gazetteer
+from ..operators.mentions import PHRASE, spot_capitalised, spot_gazetteer
 from ..operators.resolve import exact_match, page_mentions, resolve_mentions
 from ..operators.similarity import fuzzy_best_match
 from ..session import cut_lineage
@@ -121,8 +121,41 @@ def q_resolve_links(spark, sf):
             .select("page_id", F.col("l.href").alias("href"), pg.resolve_link("full_url", F.col("l.href")).alias("link")))
 
 
+# Each form against each page URL. _s, _n, _p: scheme, host and path of the page;
+# its folder is the path up to the last slash, and the folder above it.
+_FOLDER = "regexp_replace(_p, '[^/]*$', '')"
+LINK_FORMS = [
+    ("https://other.example.org/a/../b?q=1", "'https://other.example.org/a/../b?q=1'"),
+    ("//cdn.example.org/x", "_s || '://cdn.example.org/x'"), ("/top/./a/../b", "_s || '://' || _n || '/top/b'"),
+    ("next.html", f"_s || '://' || _n || {_FOLDER} || 'next.html'"),
+    ("../up", f"_s || '://' || _n || regexp_replace({_FOLDER}, '[^/]+/$', '') || 'up'"),
+    ("./", f"_s || '://' || _n || {_FOLDER}"), ("?page=2", "full_url || '?page=2'"), ("#end", "full_url || '#end'"),
+    ("", "full_url"), ("http://[bad/", "NULL"), ("//]bad/x", "NULL"), ("mailto:a@b.example", "'mailto:a@b.example'"),
+    (" /blank\t ", "_s || '://' || _n || '/blank '")]
+_FORMS_SQL = " UNION ALL ".join(f"SELECT page_id, {k} AS form, {e} AS link FROM base1" for k, (_, e) in enumerate(LINK_FORMS))
+
+
+@register("resolve_link_forms", f"""
+WITH {_PROF}, {_BASE_SQL}
+{_FORMS_SQL}""")
+def q_resolve_link_forms(spark, sf):
+    p = inputs.table(spark, sf, "pages", "page_id", "url").withColumn("full_url", urls.normalize_url("url"))
+    forms = F.array(*(F.lit(h) for h, _ in LINK_FORMS))
+    return (p.select("page_id", "full_url", F.posexplode(forms).alias("form", "href"))
+            .select("page_id", "form", pg.resolve_link("full_url", "href").alias("link")))
+
+
 # ------------------------------------------------------------------ J1
 
+@register("capitalised_mentions", f"""
+WITH {_PROF}
+SELECT DISTINCT page_id, mention FROM (
+  SELECT page_id, unnest(regexp_extract_all(text, '{PHRASE.replace("'", "''")}')) AS mention FROM prof)
+WHERE len(string_split(mention, ' ')) >= 2""")
+def q_capitalised_mentions(spark, sf):
+    return spot_capitalised(profiled(spark, sf).select("page_id", "text"), "page_id")
+
+
 @register("spot_mentions", f"""
 WITH {_NAMES_SQL}
 SELECT page_id, mention FROM spotted""")

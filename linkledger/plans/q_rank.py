@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..operators import pages as pg
-from ..operators.rank import bipartite_authority, entity_popularity
+from ..operators.rank import bipartite_authority, entity_popularity, pagerank
 from .q_pages import _BASE_SQL, _PROF, _link_sql, profiled
 from .q_round import crawl_round, round_sql
 from .registry import ROUND, register
@@ -59,3 +59,32 @@ def q_domain_authority(spark, sf):
     edges = links.join(pd_, "page_id").select("domain", urls.path("link").alias("item"))
     out = bipartite_authority(edges, pd_.select("domain"), iterations=ITERATIONS)
     return out.select("domain", F.round("authority", ROUND).alias("authority"))
+
+
+def _pagerank_sql() -> str:
+    steps, prev = [], "r0"
+    for i in range(1, ITERATIONS + 1):
+        steps.append(f"""s{i} AS (SELECT e.dst AS node, sum({prev}.r / o.k) AS s FROM e JOIN o USING (src) JOIN {prev} ON {prev}.node = e.src GROUP BY e.dst),
+m{i} AS (SELECT coalesce(sum(r), {d(0)}) AS dm FROM {prev} WHERE node NOT IN (SELECT src FROM o)),
+r{i} AS (SELECT nodes.node, {d(0.15)} / cnt.n + {d(0.85)} * (coalesce(s{i}.s, {d(0)}) + m{i}.dm / cnt.n) AS r
+         FROM nodes LEFT JOIN s{i} USING (node), m{i}, cnt)""")
+        prev = f"r{i}"
+    return f"""WITH {_PROF}, {_BASE_SQL},
+e AS (SELECT DISTINCT full_url AS src, link AS dst FROM (SELECT full_url, {_link_sql('h')} AS link FROM base1, unnest(hrefs) AS t(h))
+      WHERE link LIKE 'http%'),
+nodes AS (SELECT src AS node FROM e UNION SELECT dst FROM e UNION SELECT full_url FROM base),
+cnt AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM nodes),
+o AS (SELECT src, count(*) AS k FROM e GROUP BY src),
+r0 AS (SELECT node, {d(1)} / cnt.n AS r FROM nodes, cnt),
+{",\n".join(steps)}
+SELECT node, round(r, 9) AS rank FROM {prev}"""
+
+
+@register("pagerank", _pagerank_sql())
+def q_pagerank(spark, sf):
+    """Directed: pages and the URLs that they link to."""
+    prof = profiled(spark, sf)
+    edges = (pg.page_links(prof, "page_id", "full_url").join(prof.select("page_id", "full_url"), "page_id")
+             .select(F.col("full_url").alias("src"), F.col("link").alias("dst")))
+    nodes = prof.select(F.col("full_url").alias("node")).unionByName(edges.select(F.col("dst").alias("node")))
+    return pagerank(nodes, edges, iterations=ITERATIONS).select("node", F.round("rank", ROUND).alias("rank"))

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from ..operators.state import empty_state, queue_lengths
 from . import inputs
+from .q_ingest import responses, seeds
 from .q_pages import profiled, title_entities, title_vocabulary
 from .q_urls import AS_OF, _FIRSTS_SQL
 from .registry import ROUND, register
-from .rounds import gazetteer_extractor, run_round
+from .rounds import gazetteer_extractor, run_round, run_seed_round
 from .sqltext import (action_expr, d, derived_priority_expr, events_ctes, fetched_ctes, names_ctes, page_ctes, pint,
                       priority_expr, relevance_expr, trust_expr, url_parts, vocab_ents_ctes)
 
@@ -79,6 +80,46 @@ def q_build_references(spark, sf):
     return out.references.select("entity_id", "url_id", _r(F.col("relevance")).alias("relevance"))
 
 
+@register("references_repeated_pages", f"""
+WITH {round_sql()}
+SELECT entity_id, url_id, round(relevance, 9) AS relevance FROM refs""")
+def q_references_repeated_pages(spark, sf):
+    """Every page landed twice, and once more as a later fetch without a response: the
+    references are those of one fetch of each URL."""
+    prof = profiled(spark, sf)
+    pages = inputs.fetched_pages(spark, sf)
+    later = pages.withColumn("page_id", F.col("page_id") + F.lit(10**9)).withColumn("status", F.lit(404))
+    out = run_round(empty_state(spark, entity=title_entities(prof)), inputs.discovered(spark, sf),
+                    pages.unionByName(pages).unionByName(later), gazetteer_extractor(title_vocabulary(prof)), AS_OF)
+    return out.references.select("entity_id", "url_id", _r(F.col("relevance")).alias("relevance"))
+
+
+@register("frontier_round2")
+def q_frontier_round2(spark, sf):
+    """Two rounds: what the first feeds back is the second's batch, and the pages that
+    were demoted in the first answer in the second. Sequence numbers of both
+    feedbacks, which go on without a gap or a repeat."""
+    prof = profiled(spark, sf)
+    extract = gazetteer_extractor(title_vocabulary(prof))
+    one = run_round(empty_state(spark, entity=title_entities(prof)), inputs.discovered(spark, sf),
+                    inputs.fetched_pages(spark, sf), extract, AS_OF)
+    again = inputs.fetched_pages(spark, sf).withColumn("status", F.lit(200))
+    two = run_round(one.state, one.feedback.select("seq", "url", "relevance"), again, extract, AS_OF)
+    return (one.feedback.select(F.lit(1).alias("round"), "seq", "url", _r(F.col("relevance")).alias("relevance"))
+            .unionByName(two.feedback.select(F.lit(2).alias("round"), "seq", "url", _r(F.col("relevance")).alias("relevance"))))
+
+
+@register("full_round")
+def q_full_round(spark, sf):
+    """From seeds to feedback: search queries and their landed responses, distinct hits
+    of each seed, the discovered batch, and the round over it."""
+    prof = profiled(spark, sf)
+    out = run_seed_round(empty_state(spark, entity=title_entities(prof)), seeds(spark, sf).withColumn(
+        "initial_search", F.col("pos") % 2 == 0), responses(spark, sf), inputs.fetched_pages(spark, sf),
+        gazetteer_extractor(title_vocabulary(prof)), AS_OF)
+    return out.references.select("entity_id", "url_id", _r(F.col("relevance")).alias("relevance"))
+
+
 @register("rejected_queue", f"""
 WITH {round_sql()}
 SELECT name, round(priority, 9) AS priority, {pint('priority')} AS priority_int FROM rejq""")

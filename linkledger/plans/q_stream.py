@@ -1,36 +1,53 @@
-"""Registered streaming query: the pages table landed as a
-parquet file is streamed with Trigger.AvailableNow; each micro-batch runs the
-validate step into a versioned state snapshot. The result must equal the batch
-run, so it is checked against the same oracle as ``domain_state``."""
+"""Registered streaming queries: discovered URLs land in slices of
+their order, and after each the stream is run with Trigger.AvailableNow, so that
+every micro-batch takes up the state that the one before it committed. The result
+must equal the batch run, so it is checked against the batch's oracle."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..streaming.crawl_stream import scratch_root, validate_stream
-from .inputs import SECOND_SIGHTING_OFFSET
-from .q_urls import AS_OF, q_domain_state
+from ..operators.state import empty_state
+from ..streaming.crawl_stream import round_stream, scratch_root, validate_stream
+from . import inputs
+from .q_pages import profiled, title_entities, title_vocabulary
+from .q_urls import AS_OF
 from .registry import ORACLES, ROUND, register
+from .rounds import gazetteer_extractor
 
-PAGES_STREAM_SCHEMA = "page_id long, url string"
+DISCOVERED = "seq long, url string, relevance double"
+SLICES = 3
 
 
-def _discovered_from_pages(batch):
-    first = batch.select(F.col("page_id").alias("seq"), "url",
-                         (((F.col("page_id") * 7) % 11).cast("double") / F.lit(10.0)).alias("relevance"))
-    second = batch.select((F.col("page_id") + F.lit(SECOND_SIGHTING_OFFSET)).alias("seq"), "url",
-                          (((F.col("page_id") * 3) % 11).cast("double") / F.lit(2.5)).alias("relevance"))
-    return first.unionByName(second)
+def _landed_in_turn(spark, sf, root, run):
+    """Land the discovered URLs in slices of their sequence, and ``run`` the stream on each."""
+    disc = inputs.discovered(spark, sf).select("seq", "url", "relevance")
+    cuts = disc.agg(F.percentile_approx("seq", [k / SLICES for k in range(1, SLICES)])).first()[0] or []
+    state = None
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        part = disc.where((F.lit(lo is None) | (F.col("seq") > F.lit(lo))) & (F.lit(hi is None) | (F.col("seq") <= F.lit(hi))))
+        part.write.mode("append").parquet(f"{root}/landed")
+        state = run(spark.readStream.schema(DISCOVERED).parquet(f"{root}/landed"))
+    return state
 
 
+@register("stream_domain_state", ORACLES["domain_state"])
 def q_stream_domain_state(spark, sf):
     root = scratch_root(spark, "stream-domain-state")
-    src = (spark.readStream.schema(PAGES_STREAM_SCHEMA).option("pathGlobFilter", "pages.parquet")
-           .option("maxFilesPerTrigger", 1).parquet(sf))
-    st = validate_stream(spark, src, _discovered_from_pages, f"{root}/state", f"{root}/checkpoint", AS_OF)
+    st = _landed_in_turn(spark, sf, root, lambda src: validate_stream(
+        spark, src, lambda batch: batch, f"{root}/state", f"{root}/checkpoint", AS_OF))
     return st.domain.select("domain_name", "domain_id", "visit_count",
                             F.round("quality_score", ROUND).alias("quality_score"))
 
 
-register("stream_domain_state", ORACLES["domain_state"])(q_stream_domain_state)
-__all__ = ["q_domain_state"]
+@register("stream_round")
+def q_stream_round(spark, sf):
+    """A whole round for each slice; the references of all of them."""
+    root = scratch_root(spark, "stream-round")
+    prof = profiled(spark, sf)
+    st = _landed_in_turn(spark, sf, root, lambda src: round_stream(
+        spark, src, lambda batch: batch, inputs.fetched_pages(spark, sf), gazetteer_extractor(title_vocabulary(prof)),
+        f"{root}/state", f"{root}/checkpoint", AS_OF, initial=empty_state(spark, title_entities(prof)),
+        feedback_dir=f"{root}/feedback"))
+    return (st.reference.join(st.url.select("url_id", "full_url"), "url_id")
+            .select("entity_id", "full_url", F.round("relevance", ROUND).alias("relevance")))

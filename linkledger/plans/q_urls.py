@@ -186,7 +186,7 @@ FROM r""")
 def q_status_routing(spark, sf):
     st, _ = validated(spark, sf)
     front = st.url_queue.join(st.url.select("url_id", "full_url"), "url_id")
-    routed = fr.route_fetched(front, inputs.fetched_pages(spark, sf, with_html=False).withColumn("html", F.lit(None).cast("string")))
+    routed = fr.route_fetched(front, inputs.fetched_pages(spark, sf, with_html=False), "page_id")
     return routed.select("url_id", "full_url", "status", "action", _r(F.col("new_priority")).alias("new_priority"),
                          scoring.priority_int("new_priority").alias("new_priority_int"))
 

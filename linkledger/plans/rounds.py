@@ -26,8 +26,9 @@ from ..operators import pages as pg
 from ..operators.html_profile import profile_pages
 from ..operators.mentions import spot_gazetteer
 from ..operators.resolve import page_mentions, resolve_mentions
-from ..operators.state import GraphState, queue_remove, queue_update
+from ..operators.state import GraphState, assign_dense_ids, queue_remove, queue_update
 from ..session import cut_lineage
+from ..sources import search as srch
 
 Extractor = Callable[[DataFrame], DataFrame]   # (key, text) -> (key, mention)
 
@@ -38,6 +39,25 @@ def gazetteer_extractor(vocabulary: DataFrame, key: str = "url_id") -> Extractor
     return run
 
 
+def discovered_from_search(seeds: DataFrame, responses: DataFrame, start: int = 1) -> DataFrame:
+    """Seeds -> queries -> hits -> discovered batch (seq, url, relevance).
+
+    ``seeds``: (pos, name, location, initial_search); ``responses``: (pos, query_idx,
+    body), the landed answers to ``search_queries(seeds)``. Answers to queries that
+    were not asked are left out; hits are numbered by seed and URL."""
+    asked = srch.search_queries(seeds).select("pos", "query_idx")
+    hits = srch.seed_hits(srch.result_urls(responses.join(asked, ["pos", "query_idx"], "left_semi")), seeds)
+    return assign_dense_ids(hits, ["pos", "url"], "seq", start).select("seq", "url", "relevance")
+
+
+def run_seed_round(state: GraphState, seeds: DataFrame, responses: DataFrame, fetched: DataFrame, extractor: Extractor,
+                   as_of: str, fetch_order: str = "page_id") -> "RoundOutput":
+    """I3 from its start: search, then a round over what it found."""
+    last = state.sequence.agg(F.max("next_seq")).first()[0]
+    found = discovered_from_search(seeds, responses, 1 if last is None else int(last))
+    return run_round(state, found, fetched, extractor, as_of, fetch_order)
+
+
 @dataclass(frozen=True)
 class RoundOutput:
     state: GraphState
@@ -49,16 +69,20 @@ class RoundOutput:
 
 
 def run_round(state: GraphState, discovered: DataFrame, fetched: DataFrame, extractor: Extractor,
-              as_of: str) -> RoundOutput:
+              as_of: str, fetch_order: str = "page_id") -> RoundOutput:
+    """``fetched``: (full_url, status, html) and ``fetch_order``, which numbers the
+    fetches: the first fetch of a URL counts. Pages are parsed where they are read;
+    joins and checkpoints carry their profiles, never the html."""
     # validate
     st, _ = fr.validate_batch(discovered, state, as_of)
 
     # extract: the whole frontier, in drain order
     front = fr.frontier_rank(st.url_queue, st.url)
-    routed = cut_lineage(fr.route_fetched(front, fetched))
-    parsed = routed.where(F.col("action") == "parse")
-    prof = cut_lineage(profile_pages(parsed.select("url_id", "full_url", "priority_int", "drain_rank", "html"),
-                                     ["url_id", "full_url", "priority_int", "drain_rank"]))
+    routed = cut_lineage(fr.route_fetched(front, fetched.select("full_url", "status", fetch_order), fetch_order))
+    parsed = routed.where(F.col("action") == "parse").select("url_id", "full_url", "priority_int", "drain_rank", fetch_order)
+    read = profile_pages(fetched.where(fr.status_action("status") == "parse").select(fetch_order, "html"), [fetch_order])
+    # a fetch that landed twice has two equal profiles; the join has put them together
+    prof = cut_lineage(read.join(parsed, fetch_order).dropDuplicates([fetch_order]))
     good = pg.meaningful(prof)
     demoted = routed.where(F.col("action") == "demote").select(
         "url_id", F.col("new_priority").alias("priority"), scoring.priority_int("new_priority").alias("priority_int"))
@@ -83,11 +107,14 @@ def run_round(state: GraphState, discovered: DataFrame, fetched: DataFrame, extr
     refs = ld.build_references(pages_out, st.url, st.entity, as_of)
     reference_next = ld.append_references(st.reference, refs)
     entity_queue_next = ld.rejected_queue(st.entity_queue, pages_out, "drain_rank")
-    seq0 = discovered.agg(F.max("seq").alias("m")).first()["m"]
-    start = 1 if seq0 is None else int(seq0) + 1
+    # numbering goes on from what the state has given out, and from the batch if that is further
+    last = discovered.agg(F.max("seq").alias("m")).unionByName(
+        state.sequence.select((F.col("next_seq") - 1).alias("m"))).agg(F.max("m")).first()[0]
+    start = 1 if last is None else int(last) + 1
     fb = ld.feedback(derived.join(pages_out.select("url_id", "drain_rank"), "url_id"),
                      [F.col("drain_rank"), F.col("is_homepage").desc(), F.col("url")], start)
 
-    nxt = st.with_(url_queue=queue_next, reference=reference_next, entity_queue=entity_queue_next)
-    return RoundOutput(state=nxt, routed=routed.drop("html"), pages=pages_out, references=refs,
+    sequence_next = fb.agg((F.lit(start) + F.count(F.lit(1))).cast("long").alias("next_seq"))
+    nxt = st.with_(url_queue=queue_next, reference=reference_next, entity_queue=entity_queue_next, sequence=sequence_next)
+    return RoundOutput(state=nxt, routed=routed, pages=pages_out, references=refs,
                        derived=derived, feedback=fb)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.state import SCHEMAS, GraphState
+from ..operators.state import SCHEMAS, GraphState, check_constraints
 
 PAGE_SCHEMA = "url string, html string"
 
@@ -17,11 +18,13 @@ def read_saved_pages(spark: SparkSession, path: str) -> DataFrame:
 def write_state(state: GraphState, base: str, version: int) -> str:
     """Every table under ``base/v=<version>/<table>``; the version is recorded
     in ``base/_versions`` only after all tables are written, so a reader never
-    sees a partial snapshot and a rerun of the same version overwrites it."""
+    sees a partial snapshot and a rerun of the same version overwrites it. A state
+    that breaks a constraint is not committed."""
     spark = state.domain.sparkSession
     root = f"{base.rstrip('/')}/v={int(version)}"
     for name, df in state.tables().items():
         df.write.mode("overwrite").parquet(f"{root}/{name}")
+    check_constraints(read_state(spark, base, version))
     spark.createDataFrame([(int(version),)], "version long").write.mode("append").parquet(f"{base.rstrip('/')}/_versions")
     return root
 
@@ -34,7 +37,10 @@ def read_state(spark: SparkSession, base: str, version: int) -> GraphState:
 def latest_version(spark: SparkSession, base: str) -> int | None:
     """Highest committed snapshot version under ``base`` (None if there is none)."""
     try:
-        v = spark.read.parquet(f"{base.rstrip('/')}/_versions").agg({"version": "max"}).first()[0]
-    except Exception:  # noqa: BLE001  (no manifest yet)
+        versions = spark.read.parquet(f"{base.rstrip('/')}/_versions")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":      # only a missing manifest means that nothing is committed
+            raise
         return None
+    v = versions.agg({"version": "max"}).first()[0]
     return None if v is None else int(v)

@@ -70,9 +70,11 @@ def test_validate_new_and_known_url(spark):
 def test_status_routing(spark):
     front = spark.createDataFrame([(1, "u1", 50), (2, "u2", 50), (3, "u3", 80), (4, "u4", 75), (5, "u5", 20)],
                                   "url_id long, full_url string, priority_int int")
-    fetched = spark.createDataFrame([("u2", 404, ""), ("u3", 503, ""), ("u4", 200, "<body>ok</body>"), ("u5", 501, "")],
-                                    "full_url string, status int, html string")
-    out = {r["url_id"]: (r["action"], r["new_priority"]) for r in fr.route_fetched(front, fetched).collect()}
+    fetched = spark.createDataFrame([("u2", 404, 1), ("u3", 503, 2), ("u4", 200, 3), ("u5", 501, 4), ("u4", 404, 5),
+                                     ("u4", 200, 3)], "full_url string, status int, fetch long")
+    routed = fr.route_fetched(front, fetched, "fetch").collect()
+    assert len(routed) == 5
+    out = {r["url_id"]: (r["action"], r["new_priority"]) for r in routed}
     assert out == {1: ("remove", None), 2: ("remove", None), 3: ("demote", 60.0), 4: ("parse", None), 5: ("parse", None)}
 
 
@@ -82,6 +84,8 @@ def test_queue_head_upsert_update_remove(spark):
     assert fr.frontier_head(q, urlt).first()["priority_int"] == 80
     q2 = stt.queue_update(q, spark.createDataFrame([(1, 99.0, 99), (7, 5.0, 5)], "url_id long, priority double, priority_int int"), "url_id")
     assert {r["url_id"]: r["priority_int"] for r in q2.collect()} == {1: 99, 2: 80}
+    twice = spark.createDataFrame([(1, 30.0, 30, 1), (1, 20.0, 20, 2)], "url_id long, priority double, priority_int int, seq long")
+    assert {r["url_id"]: r["priority_int"] for r in stt.queue_update(q, twice, "url_id", "seq").collect()} == {1: 20, 2: 80}
     eq = spark.createDataFrame([("PQ1", 20.0, 20), ("PQ2", 90.0, 90)], "name string, priority double, priority_int int")
     head = eq.orderBy(F.col("priority_int").desc(), "name").first()
     assert (head["name"], head["priority_int"]) == ("PQ2", 90)

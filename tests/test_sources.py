@@ -107,7 +107,8 @@ def test_round_stream_references(spark, tmp_path):
     pages = [("https://food.org/a", 200, html.format(t="Fancy Bistro")),
              ("https://eat.com/b", 200, html.format(t="Chez Olivia")),
              ("https://eat.com/c", 503, "")]
-    fetched = spark.createDataFrame(pages, "full_url string, status int, html string")
+    fetched = spark.createDataFrame([(k, *p) for k, p in enumerate(pages)],
+                                    "page_id long, full_url string, status int, html string")
     entity = spark.createDataFrame([(1, "Fancy Bistro", "Paris"), (2, "Chez Olivia", None)],
                                    "entity_id long, name string, address string")
     vocab = spark.createDataFrame([("Fancy Bistro",), ("Chez Olivia",), ("Le Nope",)], "name string")
