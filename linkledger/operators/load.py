@@ -37,6 +37,12 @@ def rejected_queue(entity_queue: DataFrame, pages: DataFrame, order_col: str) ->
     return queue_upsert(entity_queue, batch, "name", "seq")
 
 
+def rejected_sources(pages: DataFrame) -> DataFrame:
+    """H9: (name, source_url, priority) for every rejected mention and page."""
+    return pages.select(F.explode("rejected").alias("name"), F.col("full_url").alias("source_url"),
+                        scoring.rejected_priority("relevance").alias("priority"))
+
+
 def feedback(derived: DataFrame, order_cols: list, start_seq: int) -> DataFrame:
     """Derived (url, priority) pairs become the next discovered batch, with
     ``relevance`` = the 0..100 priority, numbered in ``order_cols`` order."""

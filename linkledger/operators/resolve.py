@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .similarity import fuzzy_best_match
+from .similarity import fuzzy_best_match, nearest_match
 
 FUZZY_THRESHOLD = 0.75
 
@@ -25,14 +25,14 @@ def exact_match(mentions: DataFrame, entity: DataFrame, mention_col: str = "ment
 
 
 def resolve_mentions(mentions: DataFrame, entity: DataFrame, mention_col: str = "mention",
-                     threshold: float = FUZZY_THRESHOLD) -> DataFrame:
+                     threshold: float = FUZZY_THRESHOLD, nearest: bool = False) -> DataFrame:
     """D3: distinct mentions -> exact -> left_anti remainder -> fuzzy.
 
     Returns (mention, entity_id, matched_name, confidence, method, accepted).
     ``method`` is exact / fuzzy / none; ``matched_name`` is the entity name the
     mention resolves to (the name kept in the validated set). A rejected mention
-    keeps its own text: naming it after its nearest entity below the threshold
-    would need every pair that shares a trigram."""
+    keeps its own text; with ``nearest`` it also gets nearest_name and
+    nearest_confidence, its best entity below the threshold (else null)."""
     m = mentions.select(F.col(mention_col).alias("mention")).where(F.col("mention").isNotNull()).distinct()
     ex = exact_match(m, entity).where(F.col("entity_id").isNotNull())
     exact = ex.select("mention", "entity_id", F.col("mention").alias("matched_name"),
@@ -46,6 +46,10 @@ def resolve_mentions(mentions: DataFrame, entity: DataFrame, mention_col: str =
         F.coalesce("method", F.lit("none")).alias("method"),
         F.col("entity_id").isNotNull().alias("accepted"),
     )
+    if nearest:
+        near = nearest_match(out.where("not accepted").select("mention"), entity).select(
+            "mention", F.col("matched_name").alias("nearest_name"), F.col("confidence").alias("nearest_confidence"))
+        out = out.join(near, "mention", "left")
     return out
 
 

@@ -17,7 +17,7 @@ trigram; candidate pairs are never collected per trigram group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.trigram import similarity_of_sets, trigrams
@@ -78,3 +78,37 @@ def fuzzy_best_match(mentions: DataFrame, gazetteer: DataFrame, threshold: float
                           F.struct(F.col("confidence"), -F.col("entity_id"))).alias("b")))
     return best.select("mention", F.col("b.entity_id").alias("entity_id"), F.col("b.name").alias("matched_name"),
                        F.col("b.address").alias("address"), F.col("b.confidence").alias("confidence"))
+
+
+#: Each level is joined only for mentions that none above it has matched.
+LEVELS = (0.75, 0.5, 0.3, 0.2, 0.1)
+
+
+def nearest_match(mentions: DataFrame, gazetteer: DataFrame, mention_col: str = "mention",
+                  levels: tuple[float, ...] = LEVELS) -> DataFrame:
+    """The best entity per distinct mention down to the last of ``levels``, same columns
+    as ``fuzzy_best_match``. A mention that matches at a level has its best match there,
+    so the prefix filter of the level is exact, and wide joins see only the rest."""
+    rest = cut_lineage(mentions.select(F.col(mention_col).alias("mention")).where(F.col("mention").isNotNull()).distinct())
+    out = None
+    for t in levels:
+        hit = cut_lineage(fuzzy_best_match(rest, gazetteer, t, strict=False))
+        out = hit if out is None else out.unionByName(hit)
+        rest = rest.join(hit.select("mention"), "mention", "left_anti")
+    return out
+
+
+def register_fuzzy_search(spark: SparkSession, gazetteer: DataFrame, name: str = "fuzzy_search",
+                          threshold: float = 0.75) -> None:
+    """The search as SQL: ``SELECT * FROM <name>_matches`` over a view ``<name>_input``
+    (mention) that the caller creates first, and ``<name>_similarity(a, b)`` for any pair
+    of strings. The view runs the prefix-filtered join over all rows of the input."""
+    def grams(x: str) -> str:
+        words = f"filter(split(regexp_replace(lower({x}), '[^\\\\p{{L}}\\\\p{{N}}]+', ' '), ' '), w -> length(w) > 0)"
+        return (f"array_distinct(flatten(transform({words}, "
+                "w -> transform(sequence(1, length(w) + 1), i -> substring(concat('  ', w, ' '), i, 3)))))")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}_similarity(a STRING, b STRING) RETURNS DOUBLE RETURN "
+              f"SELECT CASE WHEN size(array_union(x, y)) > 0 THEN CAST(CAST(size(array_intersect(x, y)) / "
+              f"size(array_union(x, y)) AS FLOAT) AS DOUBLE) ELSE CAST(0 AS DOUBLE) END "
+              f"FROM (SELECT {grams('a')} AS x, {grams('b')} AS y)")
+    fuzzy_best_match(spark.table(f"{name}_input"), gazetteer, threshold).createOrReplaceTempView(f"{name}_matches")

@@ -14,7 +14,7 @@ from ..sources.seeds import seed_batch
 from . import inputs
 from .q_urls import AS_OF, _FRONTIER_SQL, validated
 from .registry import ROUND, register
-from .sqltext import d, domain_expr, fetched_ctes, norm_expr, pint, url_parts
+from .sqltext import d, domain_expr, fetched_ctes, norm_expr, pint, quality_fold_expr, url_parts
 
 RESPONSE_SIZE = 20       # URLs per search response (the reference asks for at most 20)
 
@@ -204,14 +204,16 @@ _DOMAIN_IDS_SQL = """dids AS (SELECT domain, row_number() OVER (ORDER BY min(seq
 
 
 @register("domain_lookup", f"""
-WITH {_FRONTIER_SQL}, {_DOMAIN_IDS_SQL}
-SELECT f.full_url, dd.domain AS domain_name, dd.domain_id, dd.domain_id AS source_id
-FROM frontier f JOIN firsts fi ON fi.norm_url = f.full_url JOIN dids dd ON dd.domain = fi.domain""")
+WITH {_FRONTIER_SQL}, {_DOMAIN_IDS_SQL},
+dq AS (SELECT domain, round({quality_fold_expr('list(relevance ORDER BY seq)', scoring.QUALITY_STEP)}, 9) AS quality_score
+       FROM ev GROUP BY domain)
+SELECT f.full_url, dd.domain AS domain_name, dd.domain_id, dd.domain_id AS source_id, dq.quality_score
+FROM frontier f JOIN firsts fi ON fi.norm_url = f.full_url JOIN dids dd ON dd.domain = fi.domain JOIN dq ON dq.domain = fi.domain""")
 def q_domain_lookup(spark, sf):
     st, _ = validated(spark, sf)
     return (st.url.select("full_url", "source_id").join(st.source.select("source_id", "domain_id"), "source_id")
-            .join(st.domain.select("domain_id", "domain_name"), "domain_id")
-            .select("full_url", "domain_name", "domain_id", "source_id"))
+            .join(st.domain.select("domain_id", "domain_name", "quality_score"), "domain_id")
+            .select("full_url", "domain_name", "domain_id", "source_id", _r(F.col("quality_score")).alias("quality_score")))
 
 
 # ------------------------------------------------------------------ D8

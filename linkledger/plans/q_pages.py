@@ -11,7 +11,7 @@ from ..operators import pages as pg
 from ..operators.html_profile import profile_pages
 from ..operators.mentions import PHRASE, spot_capitalised, spot_gazetteer
 from ..operators.resolve import exact_match, page_mentions, resolve_mentions
-from ..operators.similarity import fuzzy_best_match
+from ..operators.similarity import fuzzy_best_match, nearest_match
 from ..session import cut_lineage
 from . import inputs
 from .registry import ROUND, register
@@ -190,10 +190,17 @@ best AS (SELECT mention, arg_max(entity_id, (c, -entity_id)) AS entity_id, arg_m
 @register("exact_resolve", f"""
 WITH {_CUST_SQL},
 allm AS (SELECT DISTINCT mention FROM (SELECT mention FROM mall UNION ALL SELECT name FROM gz))
-SELECT a.mention, min(g.entity_id) AS entity_id FROM allm a LEFT JOIN gz g ON g.name = a.mention GROUP BY a.mention""")
+SELECT a.mention, min(g.entity_id) AS entity_id
+FROM allm a LEFT JOIN (SELECT entity_id, name FROM gz UNION ALL SELECT 1000000 - entity_id, name FROM gz WHERE entity_id % 3 = 0
+                       UNION ALL SELECT -entity_id, name FROM gz WHERE entity_id % 5 = 0) g ON g.name = a.mention
+GROUP BY a.mention""")
 def q_exact_resolve(spark, sf):
     m = inputs.mentions(spark, sf).unionByName(inputs.gazetteer(spark, sf).select(F.col("name").alias("mention")))
-    return exact_match(m, inputs.gazetteer(spark, sf))
+    gz = inputs.gazetteer(spark, sf)
+    key = F.col("entity_id")
+    twice = gz.where(key % 3 == 0).withColumn("entity_id", 1_000_000 - key)      # a repeat with a higher id
+    below = gz.where(key % 5 == 0).withColumn("entity_id", -key)                 # and one with a lower id
+    return exact_match(m, gz.unionByName(twice).unionByName(below))
 
 
 @register("fuzzy_resolve", f"""
@@ -204,6 +211,20 @@ def q_fuzzy_resolve(spark, sf):
     return out.select("mention", "entity_id", "matched_name", _r(F.col("confidence")).alias("confidence"))
 
 
+_NEAREST_SQL = f"""best AS (SELECT mention, arg_max(entity_id, (c, -entity_id)) AS entity_id, arg_max(name, (c, -entity_id)) AS matched_name,
+                max(c) AS confidence FROM (SELECT m.mention, g.entity_id, g.name, {sim(trigrams('m.mention'), trigrams('g.name'))} AS c
+                                           FROM mall m, gz g) WHERE c >= {d(0.1)} GROUP BY mention)"""
+
+
+@register("nearest_match", f"""
+WITH {_CUST_SQL}, {_NEAREST_SQL}
+SELECT mention, entity_id, matched_name, round(confidence, 9) AS confidence FROM best""")
+def q_nearest_match(spark, sf):
+    """The nearest entity of each mention, also below the threshold of acceptance."""
+    out = nearest_match(inputs.mentions(spark, sf), inputs.gazetteer(spark, sf))
+    return out.select("mention", "entity_id", "matched_name", _r(F.col("confidence")).alias("confidence"))
+
+
 @register("resolve_mentions", f"""
 WITH {_FUZZY_SQL},
 allm AS (SELECT DISTINCT mention FROM (SELECT mention FROM mall UNION ALL SELECT name FROM gz)),

@@ -9,6 +9,7 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
+from ..operators.load import rejected_sources
 from ..operators.state import empty_state, queue_lengths
 from . import inputs
 from .q_ingest import responses, seeds
@@ -128,6 +129,13 @@ def q_rejected_queue(spark, sf):
     return out.state.entity_queue.select("name", _r(F.col("priority")).alias("priority"), "priority_int")
 
 
+@register("rejected_sources", f"""
+WITH {round_sql()}
+SELECT t.name, p.full_url AS source_url, round(p.relevance * {d(100)}, 9) AS priority FROM pin p, unnest(p.rejected) AS t(name)""")
+def q_rejected_sources(spark, sf):
+    return rejected_sources(crawl_round(spark, sf).pages).select("name", "source_url", _r(F.col("priority")).alias("priority"))
+
+
 @register("frontier_round", f"""
 WITH {round_sql()}
 SELECT seq, url, round(relevance, 9) AS relevance, is_homepage, url_id FROM feedback""")

@@ -13,7 +13,8 @@ from linkledger.operators import rank
 from linkledger.operators import state as stt
 from linkledger.operators.html_profile import profile_html, profile_pages
 from linkledger.operators.mentions import spot_capitalised, spot_gazetteer
-from linkledger.operators.similarity import fuzzy_best_match
+from linkledger.operators.resolve import resolve_mentions
+from linkledger.operators.similarity import fuzzy_best_match, register_fuzzy_search
 from linkledger.plans.rounds import discovered_from_search, gazetteer_extractor, run_round
 from linkledger.sources.snapshots import latest_version, write_state
 from linkledger.sources.search import search_queries
@@ -152,6 +153,24 @@ def test_similarity_join_makes_each_pair_once(spark):
     assert got == {n.replace("#", " "): n for n in names[::2]}
 
 
+def test_fuzzy_search_from_sql(spark):
+    g = spark.createDataFrame([(111, "Fancy Resto", "321 Street"), (2, "Other", None)], "entity_id long, name string, address string")
+    spark.createDataFrame([("Fancy Restos",), ("zzz",)], "mention string").createOrReplaceTempView("fuzzy_search_input")
+    register_fuzzy_search(spark, g)
+    got = spark.sql("SELECT entity_id, matched_name, address, confidence FROM fuzzy_search_matches").collect()
+    assert [(r[0], r[1], r[2]) for r in got] == [(111, "Fancy Resto", "321 Street")] and got[0][3] > 0.75
+    pairs = [("word", "words", 4 / 7), ("word", "two words", 4 / 11), ("a", "a", 1), ("a", "b", 0), ("", "", 0)]
+    for a, b, want in pairs:
+        assert spark.sql(f"SELECT fuzzy_search_similarity('{a}', '{b}')").first()[0] == pytest.approx(want, abs=1e-6)
+
+
+def test_rejects_are_named_after_their_nearest_entity(spark):
+    g = spark.createDataFrame([(1, "Fancy Resto Paris", None), (2, "Other", None)], "entity_id long, name string, address string")
+    m = spark.createDataFrame([("Fancy Place",), ("Other",), ("xyz",)], "mention string")
+    got = {r["mention"]: (r["method"], r["nearest_name"]) for r in resolve_mentions(m, g, nearest=True).collect()}
+    assert got == {"Fancy Place": ("none", "Fancy Resto Paris"), "Other": ("exact", None), "xyz": ("none", None)}
+
+
 def test_pagerank_with_dangling_nodes(spark):
     edges = [("a", "b"), ("b", "c"), ("a", "c"), ("d", "a"), ("a", "b")]
     nodes = ["a", "b", "c", "d", "e"]
