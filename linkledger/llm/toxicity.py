@@ -266,6 +266,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     held = docs.sparkSession.sparkContext.broadcast(half)
     # two numbers for each row of the bounded sample, in a fixed order
     seen = marked.mapInArrow(partial(_score_other_half, held=held), "x double, y int").toPandas().sort_values(["x", "y"])
+    held.destroy()                       # workers that go on to other work forget the two halves' models
     return whole, *_logistic(seen["x"].to_numpy(), seen["y"].to_numpy())
 
 
