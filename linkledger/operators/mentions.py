@@ -15,7 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.trigram import WORD_SPLIT
+from ..session import cut_lineage
 
+#: Bytes of names that may be broadcast, and what a row has besides its name.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 64
 
 def tokens(s) -> Column:
     c = F.col(s) if isinstance(s, str) else s
@@ -33,14 +37,20 @@ def spot_gazetteer(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: st
     g = (gazetteer.select(F.col(name_col).alias("_mention")).where(F.col("_mention").isNotNull()).distinct()
          .withColumn("_tok", tokens("_mention")).where(F.size("_tok") > 0)
          .select("_mention", F.size("_tok").alias("_k"), *_slice_hashes(F.col("_tok"))))
+    g = cut_lineage(g)
     # the set of name lengths in tokens is small (bounded by the longest name)
-    lens = sorted(r["_k"] for r in g.select("_k").distinct().collect())
+    held, lens = g.agg(F.sum(F.octet_length("_mention") + F.lit(ROW_BYTES)), F.sort_array(F.collect_set("_k"))).first()
     if not lens:
         return docs.select(key, F.lit(None).cast("string").alias("mention")).where(F.lit(False))
     d = docs.select(F.col(key).alias("_key"), tokens(text_col).alias("_tok"))
-    starts = (d.withColumn("_k", F.explode(F.array(*map(F.lit, lens)))).where(F.size("_tok") >= F.col("_k"))
-              .withColumn("_i", F.explode(F.sequence(F.lit(1), F.size("_tok") - F.col("_k") + 1))))
-    grams = starts.select("_key", "_k", *_slice_hashes(F.slice("_tok", F.col("_i"), F.col("_k"))))
+    # hashes are made inside the array, so a page's tokens are copied once a length, not once a place
+    places = F.sequence(F.lit(1), F.size("_tok") - F.col("_k") + 1)
+    grams = (d.withColumn("_k", F.explode(F.array(*map(F.lit, lens)))).where(F.size("_tok") >= F.col("_k"))
+             .select("_key", "_k", F.transform(places, lambda i: F.struct(
+                 *_slice_hashes(F.slice("_tok", i, F.col("_k"))))).alias("_g"))
+             .select("_key", "_k", F.inline("_g")))
+    # names of a proven size go to the page n-grams; larger gazetteers are shuffled with them
+    g = F.broadcast(g) if held <= BROADCAST_BYTES else g
     return (grams.join(g, ["_k", "_h1", "_h2"]).select(F.col("_key").alias(key), F.col("_mention").alias("mention")).distinct())
 
 
