@@ -35,7 +35,7 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 LENGTH = 4096
 #: Chunks whose ids a worker process remembers at most; then it starts over.
-REMEMBERED = 1 << 19
+REMEMBERED = 3 << 18
 #: Runs are broadcast up to this number; a run has five longs.
 BROADCAST_RUNS = 200_000
 
