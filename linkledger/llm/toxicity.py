@@ -3,23 +3,25 @@
 Two character models of words, one of toxic and one of ordinary labelled
 documents, are compared by their log-likelihoods of a text, per character. Each
 backs off from five characters down to three through continuation counts of its
-own class; the two lowest orders are shared by both, and count the words of every
-document of the corpus, labelled or not. An expression that one class has not
-shown so costs it only what its own and the shared shorter counts say, inflected
-forms of a known stem are met through the stem, and a letter that neither class
-knows decides nothing.
-
-What is gathered: each task counts words, and emits their character n-grams once
-for all words it has seen; counts are then summed by n-gram. Class counts come
-from at most ``max_labelled`` labelled rows (those first in a hash order; a
-documented bound, so they are broadcast), shared counts from all documents. The
-models keep at most ``max_grams`` n-grams of each kind, the most frequent, which
-bounds what the driver and the workers hold.
+own class, and from there to one model that both share: a Kneser-Ney model of the
+full order over the words of every document of the corpus, labelled or not. An
+expression that one class has not shown so costs it what the whole corpus says of
+it, inflected forms of a known stem are met through the stem, and a letter that
+neither class knows decides nothing.
+
+What is gathered: one pass counts the n-grams of blocks of documents, and packs the
+words of each block. Counts are summed by n-gram; n-grams are scored in tables
+that are joined by n-gram, and each block meets the ratios of its own n-grams, so
+nothing that grows with the corpus is held by the driver or by a worker. Class counts come from at most
+``max_labelled`` labelled rows (those first in a hash order), the only bound.
 
 The mean log-likelihood ratio becomes a probability by logistic regression on the
 labelled rows. Those are dealt into two halves, and each half is scored by the
 models of the other.
 
+Ratios of n-grams are rounded to 2^-24, so sums do not depend on their order. Scores
+go back to rows by the 128-bit hash of their text.
+
 Defined results: null or wordless text has ratio 0; labels repeated for an id
 count as toxic if one does; null labels and null ids of labels are ignored; with
 no toxic labels every score is 0.0, with no ordinary ones 1.0; rows that repeat
@@ -32,24 +34,26 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import partial
-from math import log
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash_fold, map_texts, whole_text
+from ..session import ensure_checkpoint_dir
+from .common import hash_fold, whole_text
 
 ORDER, SHARED = 5, 2
 DISCOUNT = 0.75
 #: Characters at ratio 0 that each text has besides its own, so that a word or two decide little.
 PRIOR = 30
 MAX_LABELLED = 20_000
-MAX_GRAMS = 1 << 18
-#: Distinct words, or n-grams, that a task remembers at once.
-REMEMBERED = 1 << 18
+#: Words, and distinct words, of the documents of a block.
+BLOCK_WORDS, REMEMBERED = 1 << 21, 1 << 18
+#: Ratios of n-grams are whole multiples of this.
+UNIT = 2.0 ** -24
 
 BEGIN, END = "\x02", "\x03"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -59,62 +63,122 @@ def _words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def _grams(word: str, order: int) -> list[str]:
-    """One n-gram for each character and the word's end."""
-    x = BEGIN * (order - 1) + word + END
-    return [x[i:i + order] for i in range(len(x) - order + 1)]
+# ---------------------------------------------------------------- counts
 
+#: (half, label), in the order of the counts n00, n01, n10, n11.
+CLASSES = [(half, label) for half in (0, 1) for label in (0, 1)]
+COUNTS = [f"n{half}{label}" for half, label in CLASSES]
+_DOC = [("key", pa.string()), ("chars", pa.int64()), ("half", pa.int32()), ("label", pa.int32())]
+_BLOCK_FIELDS = [("block", pa.int64()), ("gram", pa.string()), ("n", pa.int64()), *((c, pa.int64()) for c in COUNTS),
+                 ("words", pa.binary()), ("places", pa.binary()), ("docs", pa.list_(pa.struct(_DOC)))]
+BLOCKS = ("block long, gram string, n long, " + "".join(f"{c} long, " for c in COUNTS) +
+          "words binary, places binary, docs array<struct<key:string,chars:long,half:int,label:int>>")
 
-def _gram_counts(words: Counter, order: int) -> Counter:
-    out: Counter = Counter()
-    for word, n in words.items():
-        for g in _grams(word, order):
-            out[g] += n
-    return out
 
+def _pressed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
-# ---------------------------------------------------------------- counts
 
-def _count_corpus(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    grams, words = Counter(), Counter()
-    for b in batches:
-        for text in b.column(0).to_pylist():
-            words.update(_words(text))
-            if len(words) >= REMEMBERED:
-                grams.update(_gram_counts(words, SHARED))
-                words = Counter()
-    grams.update(_gram_counts(words, SHARED))
-    if grams:
-        yield pa.RecordBatch.from_arrays([pa.array(list(grams)), pa.array(list(grams.values()), pa.int64())],
-                                         names=["gram", "n"])
+def _unpressed(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def _press(x: np.ndarray) -> bytes:
+    """Numbers of 64 bits, their first bytes, then their second ones, and so on."""
+    return _pressed(x.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
-def corpus_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(gram, n): the shortest n-grams of the words of all documents."""
-    rows = docs.select(whole_text(text_col).alias("_text")).mapInArrow(_count_corpus, "gram string, n long")
-    return rows.groupBy("gram").agg(F.sum("n").alias("n"))
+def _unpress(data: bytes) -> np.ndarray:
+    return np.frombuffer(_unpressed(data), np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
 
 
-def _count_labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, held = defaultdict(Counter), 0
+def _grams(word: str, order: int = ORDER) -> list[str]:
+    """One n-gram for each character and the word's end."""
+    x = BEGIN * (order - 1) + word + END
+    return [x[i:i + order] for i in range(len(x) - order + 1)]
 
-    def flush() -> pa.RecordBatch:
-        out = [(g, half, label, n) for (half, label), w in words.items() for g, n in _gram_counts(w, ORDER).items()]
-        gram, half, label, n = map(list, zip(*out))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(gram), pa.array(half, pa.int32()), pa.array(label, pa.int32()), pa.array(n, pa.int64())],
-            names=["gram", "half", "label", "n"])
 
+def _gram_table(vocabulary: list[str]) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+    """Numbers of the n-grams; those of all the words in a row; how many each word has."""
+    numbers: defaultdict = defaultdict()
+    numbers.default_factory = numbers.__len__
+    sizes = np.fromiter(map(len, vocabulary), np.int64, len(vocabulary)) + 1
+    at = np.fromiter((numbers[g] for w in vocabulary for g in _grams(w)), np.int32, int(sizes.sum()))
+    return numbers, at, sizes
+
+
+def _block(number: int, vocabulary: dict[str, int], found: list[np.ndarray], docs: list[dict]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema(_BLOCK_FIELDS)
+    words = np.concatenate(found)
+    doc = np.repeat(np.arange(len(found)), [len(f) for f in found])
+    v = len(vocabulary)
+    # one row of the documents, their words, and (document, word), sorted, with how often
+    pairs, times = np.unique(doc * max(v, 1) + words, return_counts=True)
+    yield pa.RecordBatch.from_pylist([{
+        "block": number, "docs": docs, "words": _pressed(" ".join(vocabulary).encode()),
+        "places": _press(np.concatenate([np.diff(pairs, prepend=0), times]))}], schema=schema)
+    if not v:
+        return
+    kind = np.array([-1 if d["label"] is None else 2 * d["half"] + d["label"] for d in docs])[doc]
+    per_word = [np.bincount(words, minlength=v), *(np.bincount(words[kind == k], minlength=v) for k in range(len(CLASSES)))]
+    numbers, at, sizes = _gram_table(list(vocabulary))
+    counts = [np.zeros(len(numbers), np.int64) for _ in per_word]
+    for total, n in zip(counts, per_word):
+        np.add.at(total, at, np.repeat(n, sizes))
+    rest = [pa.nulls(len(numbers), schema.field(c).type) for c in ("words", "places", "docs")]
+    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(numbers), number)), pa.array(list(numbers)),
+                                      *map(pa.array, counts), *rest], schema=schema)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    number = TaskContext.get().partitionId() << 32
+
+    def fresh() -> tuple:
+        vocabulary: defaultdict = defaultdict()
+        vocabulary.default_factory = vocabulary.__len__
+        return vocabulary, [], []
+
+    vocabulary, found, docs = fresh()
+    held = 0
     for b in batches:
-        for text, half, label in zip(*(b.column(k).to_pylist() for k in range(3))):
-            found = _words(text)
-            words[half, label].update(found)
-            held += len(found)
-            if held >= 16 * REMEMBERED:
-                yield flush()
-                words, held = defaultdict(Counter), 0
-    if held:
-        yield flush()
+        for text, key, half, label in zip(*(b.column(k).to_pylist() for k in range(4))):
+            words = _words(text)
+            found.append(np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)))
+            docs.append({"key": key, "chars": sum(map(len, words)) + len(words), "half": half, "label": label})
+            held += len(words) + 1
+            if held >= BLOCK_WORDS or len(vocabulary) >= REMEMBERED:
+                yield from _block(number, vocabulary, found, docs)
+                vocabulary, found, docs = fresh()
+                number, held = number + 1, 0
+    if docs:
+        yield from _block(number, vocabulary, found, docs)
+
+
+def _text_key(text: Column) -> Column:
+    return F.md5(text.cast("binary"))
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """Written to the checkpoint folder and read again, packed closer than a checkpoint."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/toxicity-{uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def blocks(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Blocks of documents: for each a row of its documents with their words, and a row for
+    each n-gram of the highest order with its counts there, over all documents and over the
+    labelled ones by half and label."""
+    # the right side has at most max_labelled rows of three numbers
+    src = (docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text"))
+           .join(F.broadcast(known), F.col("_id") == F.col("_lid"), "left")
+           .select("_text", _text_key(F.col("_text")).alias("_key"), "_half", "_label"))
+    return _kept(src.mapInArrow(_blocks, BLOCKS))
+
+
+def gram_counts(held: DataFrame) -> DataFrame:
+    """(gram, n, n00 .. n11) of the n-grams of the highest order: all of them."""
+    return held.where("gram is not null").groupBy("gram").agg(*(F.sum(c).alias(c) for c in ["n", *COUNTS]))
 
 
 def labelled_sample(labels: DataFrame, id_col: str, label_col: str, folds: int, max_labelled: int) -> DataFrame:
@@ -129,87 +193,139 @@ def labelled_sample(labels: DataFrame, id_col: str, label_col: str, folds: int,
 # ---------------------------------------------------------------- models
 
 class KneserNey:
-    """One class: for each order, what an n-gram adds, and a context's share for the order below."""
+    """One class, as the tables below have it, for n-grams that fit in memory. The n-grams
+    of ``shared`` may be of any order from two."""
 
     def __init__(self, top: dict[str, int], shared: dict[str, int]):
         self.own: dict[str, float] = {}
         self.back: dict[str, float] = {}
+        self.shared_own: dict[str, float] = {}
+        self.shared_back: dict[str, float] = {}
+        self.order = max(map(len, shared), default=SHARED)
         level = top
-        for order in range(ORDER, SHARED, -1):
-            self._add(level)
-            below: Counter = Counter()
-            for g in level:
-                below[g[1:]] += 1
-            level = below
-        self._add(shared)
-        first: Counter = Counter()
-        for g in shared:
-            first[g[1:]] += 1
-        n = sum(first.values())
-        self.letter = {g: (c - DISCOUNT) / n for g, c in first.items()}
-        self.floor = (DISCOUNT * len(first) / n if n else 1.0) / (len(first) + 1)
-
-    def _add(self, counts: dict[str, int]) -> None:
-        total, kinds = Counter(), Counter()
+        for _ in range(ORDER, SHARED, -1):
+            level = self._add(level, self.own, self.back)
+        level = shared
+        for _ in range(self.order, 1, -1):
+            level = self._add(level, self.shared_own, self.shared_back)
+        n = sum(level.values())
+        self.letter = {g: (c - DISCOUNT) / n for g, c in level.items()}
+        self.floor = (DISCOUNT * len(level) / n if n else 1.0) / (len(level) + 1)
+
+    @staticmethod
+    def _add(counts: dict[str, int], own: dict[str, float], back: dict[str, float]) -> Counter:
+        """What an n-gram adds, and a context's share for the order below; the counts of that."""
+        total, kinds, below = Counter(), Counter(), Counter()
         for g, n in counts.items():
             total[g[:-1]] += n
             kinds[g[:-1]] += 1
+            below[g[1:]] += 1
         for g, n in counts.items():
-            self.own[g] = max(n - DISCOUNT, 0) / total[g[:-1]]
+            own[g] = max(n - DISCOUNT, 0) / total[g[:-1]]
         for h, n in total.items():
-            self.back[h] = DISCOUNT * kinds[h] / n
+            back[h] = DISCOUNT * kinds[h] / n
+        return below
 
     def probability(self, gram: str) -> float:
         """Of the last character after the others; a context that is not known is passed over."""
         p, share = 0.0, 1.0
-        while len(gram) > 1:
-            h = gram[:-1]
-            if h in self.back:
-                p += share * self.own.get(gram, 0.0)
-                share *= self.back[h]
-            gram = gram[1:]
-        return p + share * (self.letter.get(gram, 0.0) + self.floor)
-
-
-class Ratio:
-    """Word -> log-likelihood ratio, toxic to ordinary, remembered by word and by n-gram."""
-
-    def __init__(self, toxic: KneserNey, ordinary: KneserNey):
-        self.toxic, self.ordinary = toxic, ordinary
-        self.words: dict[str, float] = {}
-        self.grams: dict[str, float] = {}
-
-    def __getstate__(self):
-        return self.toxic, self.ordinary
-
-    def __setstate__(self, state):
-        self.__init__(*state)
-
-    def _gram(self, g: str) -> float:
-        r = self.grams.get(g)
-        if r is None:
-            if len(self.grams) >= REMEMBERED:
-                self.grams.clear()
-            self.grams[g] = r = log(self.toxic.probability(g) / self.ordinary.probability(g))
-        return r
-
-    def _word(self, word: str) -> float:
-        if len(self.words) >= REMEMBERED:
-            self.words.clear()
-        self.words[word] = r = sum(map(self._gram, _grams(word, ORDER)))
-        return r
-
-    def of(self, text: str) -> float:
-        """Mean over the characters of the words, a word's end counted as one, and the prior's."""
-        words = _words(text)
-        if not words:
-            return 0.0
-        known = self.words
-        total = 0.0
-        for w in words:
-            r = known.get(w)
-            total += self._word(w) if r is None else r
-        return total / (sum(map(len, words)) + len(words) + PRIOR)
+        for own, back, shortest, g in ((self.own, self.back, SHARED, gram),
+                                       (self.shared_own, self.shared_back, 1, gram[-self.order:])):
+            while len(g) > shortest:
+                h = g[:-1]
+                if h in back:
+                    p += share * own.get(g, 0.0)
+                    share *= back[h]
+                g = g[1:]
+        return p + share * (self.letter.get(gram[-1], 0.0) + self.floor)
+
+
+#: The models: a half's is fitted on that half of the labelled rows.
+MODELS = {"all": (0, 1), "h0": (0,), "h1": (1,)}
+_SIDES = [f"{m}_{label}" for m in MODELS for label in (0, 1)]
+
+
+def _in_context(level: DataFrame, order: int, sides: list[str]) -> DataFrame:
+    """With t_<side> and k_<side>: the sum and the number of what is known after the context."""
+    # a context has at most as many rows as there are letters
+    context = Window.partitionBy(F.substring("gram", 1, order - 1))
+    return level.select("gram", *sides, *(F.sum(c).over(context).alias(f"t_{c}") for c in sides),
+                        *(F.sum((F.col(c) > 0).cast("long")).over(context).alias(f"k_{c}") for c in sides))
+
+
+def _own(side: str) -> Column:
+    """What the n-gram adds; 0 where the side does not know the context."""
+    return F.when(F.col(f"t_{side}") > 0, F.greatest(F.col(side) - F.lit(DISCOUNT), F.lit(0.0)) / F.col(f"t_{side}")).otherwise(0.0)
+
+
+def _back(side: str) -> Column:
+    """The share of the context for the order below; 1 where the side does not know it."""
+    return F.when(F.col(f"t_{side}") > 0, F.lit(DISCOUNT) * F.col(f"k_{side}") / F.col(f"t_{side}")).otherwise(1.0)
+
+
+def gram_ratios(counts: DataFrame) -> DataFrame:
+    """(gram, all, h0, h1): log-likelihood ratio, toxic to ordinary, of each n-gram by each of
+    the ``MODELS``, in ``UNIT``."""
+    top = counts.select("gram", "n", *(
+        sum((F.col(f"n{half}{label}") for half in halves), F.lit(0)).alias(f"{m}_{label}")
+        for m, halves in MODELS.items() for label in (0, 1)))
+    sides = ["n", *_SIDES]
+    levels = {ORDER: top}
+    for order in range(ORDER - 1, 0, -1):
+        kept = sides if order > SHARED else ["n"]
+        levels[order] = _kept(levels[order + 1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(*(
+            F.sum((F.col(c) > 0).cast("long")).alias(c) for c in kept)))
+    n, kinds = levels[1].agg(F.sum("n"), F.count(F.lit(1))).first()
+    floor = (DISCOUNT * kinds / n if n else 1.0) / (kinds + 1)
+    # p_n: the shared model; p_<side>, s_<side>: what the side adds, and leaves to the shared model
+    below = levels[1].select("gram", ((F.col("n") - F.lit(DISCOUNT)) / F.lit(float(n or 1)) + F.lit(floor)).alias("p_n"))
+    for order in range(2, ORDER + 1):
+        own = [c for c in sides if order > SHARED or c == "n"]
+        # counts go through the shuffles, what is made of them comes after
+        at = _in_context(levels[order], order, own).withColumn("_below", F.expr("substring(gram, 2)"))
+        joined = at.join(below.withColumnRenamed("gram", "_below"), "_below")
+        out = [F.col("gram"), (_own("n") + _back("n") * F.col("p_n")).alias("p_n")]
+        for c in own[1:]:
+            lower = (F.col(f"p_{c}"), F.col(f"s_{c}")) if order > SHARED + 1 else (F.lit(0.0), F.lit(1.0))
+            out += [(_own(c) + _back(c) * lower[0]).alias(f"p_{c}"), (_back(c) * lower[1]).alias(f"s_{c}")]
+        below = joined.select(out)
+
+    def p(side: str) -> Column:
+        return F.col(f"p_{side}") + F.col(f"s_{side}") * F.col("p_n")
+    return below.select("gram", *(
+        F.round(F.log(p(f"{m}_1") / p(f"{m}_0")) / F.lit(UNIT)).cast("int").alias(m) for m in MODELS))
+
+
+def _add_up(block: pa.Table, ratios: pa.Table) -> pa.Table:
+    """The documents of one block: (key, half, label, all, h0, h1), ratios a character."""
+    docs = block.column("docs").to_pylist()[0]
+    vocabulary = _unpressed(block.column("words")[0].as_py()).decode().split()
+    places = _unpress(block.column("places")[0].as_py())
+    pairs, times = np.cumsum(places[:len(places) // 2]), places[len(places) // 2:]
+    numbers, at, sizes = _gram_table(vocabulary)
+    rows = np.fromiter(map(numbers.__getitem__, ratios.column("gram").to_pylist()), np.int64, ratios.num_rows)
+    word_at = np.repeat(np.arange(len(vocabulary)), sizes)
+    size = np.array([d["chars"] for d in docs]) + PRIOR
+    out = []
+    for m in MODELS:
+        gram, word, total = (np.zeros(k, np.int64) for k in (len(numbers), len(vocabulary), len(docs)))
+        gram[rows] = ratios.column(m).to_numpy()
+        np.add.at(word, word_at, gram[at])
+        if vocabulary:
+            np.add.at(total, pairs // len(vocabulary), word[pairs % len(vocabulary)] * times)
+        out.append(total * UNIT / size)
+    return pa.table([pa.array([d["key"] for d in docs]), pa.array([d["half"] for d in docs], pa.int32()),
+                     pa.array([d["label"] for d in docs], pa.int32()), *map(pa.array, out)],
+                    names=["key", "half", "label", *MODELS])
+
+
+def text_ratios(held: DataFrame, ratios: DataFrame) -> DataFrame:
+    """(key, half, label, all, h0, h1) of each document: mean over the characters of the words,
+    a word's end counted as one, and the prior's."""
+    grams = held.where("gram is not null").select(F.col("block").alias("_block"), "gram").join(ratios, "gram")
+    docs = held.where("gram is null").select("block", "words", "places", "docs")
+    return docs.groupBy("block").cogroup(grams.groupBy("_block")).applyInArrow(
+        _add_up, "key string, half int, label int, " + ", ".join(f"{m} double" for m in MODELS))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 100) -> tuple[float, float]:
@@ -226,85 +342,41 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 1
     return float(b[0] / scale), float(b[1] - b[0] * mean / scale)
 
 
-def _marked(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    # the right side has at most max_labelled rows of three numbers
-    return (docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text"))
-            .join(F.broadcast(known), F.col("_id") == F.col("_lid")).select("_text", "_half", "_label"))
-
-
-def _score_other_half(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        x = [held.value[1 - half].of(t) for t, half in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), b.column(2)], names=["x", "y"])
-
-
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", folds: int = 5, max_labelled: int = MAX_LABELLED,
-          max_grams: int = MAX_GRAMS) -> tuple[Ratio, float, float] | float:
-    """The ratio with its slope and constant; or a constant score where a class has no labels."""
-    marked = _marked(docs, labelled_sample(labels, id_col, label_col, folds, max_labelled), id_col, text_col)
-    grams = (marked.mapInArrow(_count_labelled, "gram string, half int, label int, n long")
-             .groupBy("gram", "half", "label").agg(F.sum("n").alias("n")))
-    per_gram = grams.groupBy("gram").agg(*(
-        F.sum(F.when((F.col("half") == half) & (F.col("label") == label), F.col("n")).otherwise(0)).alias(f"n{half}{label}")
-        for half in (0, 1) for label in (0, 1)))
-    total = F.col("n00") + F.col("n01") + F.col("n10") + F.col("n11")
-    rows = per_gram.orderBy(total.desc(), "gram").limit(max_grams).collect()
-
-    def counts(label: int, halves: tuple[int, ...]) -> dict[str, int]:
-        out = {r["gram"]: sum(r[f"n{half}{label}"] for half in halves) for r in rows}
-        return {g: n for g, n in out.items() if n}
-
-    if not counts(1, (0, 1)):
+def _scores(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int,
+            max_labelled: int) -> DataFrame | float:
+    """(key, score) of each distinct text; or a constant score where a class has no labels."""
+    held = blocks(docs, labelled_sample(labels, id_col, label_col, folds, max_labelled), id_col, text_col)
+    counts = _kept(gram_counts(held))
+    ordinary, toxic = counts.agg(F.sum(F.col("n00") + F.col("n10")), F.sum(F.col("n01") + F.col("n11"))).first()
+    if not toxic:
         return 0.0
-    if not counts(0, (0, 1)):
+    if not ordinary:
         return 1.0
-    shared = {r["gram"]: r["n"] for r in corpus_counts(docs, text_col).orderBy(F.col("n").desc(), "gram")
-              .limit(max_grams).collect()}
-    whole, *half = (Ratio(KneserNey(counts(1, part), shared), KneserNey(counts(0, part), shared))
-                    for part in ((0, 1), (0,), (1,)))
-    held = docs.sparkSession.sparkContext.broadcast(half)
+    texts = _kept(text_ratios(held, gram_ratios(counts)))
     # two numbers for each row of the bounded sample, in a fixed order
-    seen = marked.mapInArrow(partial(_score_other_half, held=held), "x double, y int").toPandas().sort_values(["x", "y"])
-    held.destroy()                       # workers that go on to other work forget the two halves' models
-    return whole, *_logistic(seen["x"].to_numpy(), seen["y"].to_numpy())
-
-
-def _scores(texts: list[str], fitted) -> np.ndarray:
-    if isinstance(fitted, float):
-        return np.full(len(texts), fitted)
-    ratio, slope, base = fitted
-    z = np.array([slope * ratio.of(t) + base for t in texts])
-    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+    other = F.when(F.col("half") == 0, F.col("h1")).otherwise(F.col("h0"))
+    seen = texts.where("label is not null").select(other.alias("x"), F.col("label").alias("y")).toPandas().sort_values(["x", "y"])
+    slope, base = _logistic(seen["x"].to_numpy(), seen["y"].to_numpy())
+    z = F.lit(slope) * F.col("all") + F.lit(base)
+    return texts.groupBy("key").agg(F.max(1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))))).alias("score"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             label_col: str = "toxic", folds: int = 5, max_labelled: int = MAX_LABELLED,
-             max_grams: int = MAX_GRAMS) -> DataFrame:
+             label_col: str = "toxic", folds: int = 5, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """Per row: id, held_out, score, predicted. ``labels``: the id and a 0/1 label."""
-    held = docs.sparkSession.sparkContext.broadcast(
-        train(docs, labels, id_col, text_col, label_col, folds, max_labelled, max_grams))
-
-    def start():
-        return lambda texts: (None, [_scores(texts, held.value)])
-
-    scored = map_texts(docs, id_col, text_col, start, "score double")
+    scores = _scores(docs, labels, id_col, text_col, label_col, folds, max_labelled)
+    rows = docs.select(F.col(id_col).alias("_id"), _text_key(whole_text(text_col)).alias("key"))
+    scored = rows.withColumn("score", F.lit(scores)) if isinstance(scores, float) else rows.join(scores, "key")
     return scored.select(F.col("_id").alias(id_col),
                          (F.coalesce(hash_fold("_id", folds), F.lit(0)) == 0).alias("held_out"),
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               label_col: str = "toxic", folds: int = 5, max_labelled: int = MAX_LABELLED,
-               max_grams: int = MAX_GRAMS) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with all their columns. Rows
-    are scored where they are read, so nothing is shuffled."""
-    held = docs.sparkSession.sparkContext.broadcast(
-        train(docs, labels, id_col, text_col, label_col, folds, max_labelled, max_grams))
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [t or "" for t in b.column(text_col).to_pylist()]
-            yield b.filter(pa.array(_scores(texts, held.value) < 0.5))
-
-    return docs.mapInArrow(clean, docs.schema)
+               label_col: str = "toxic", folds: int = 5, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
+    scores = _scores(docs, labels, id_col, text_col, label_col, folds, max_labelled)
+    if isinstance(scores, float):
+        return docs.where(F.lit(scores < 0.5))
+    toxic = scores.where("score >= 0.5").select(F.col("key").alias("_key"))
+    return docs.join(toxic, _text_key(whole_text(text_col)) == F.col("_key"), "left_anti")

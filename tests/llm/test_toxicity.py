@@ -79,3 +79,35 @@ def test_the_sample_is_bounded_and_outside_the_held_out_fold(spark):
     _, labels = corpus(spark)
     got = [r["_lid"] for r in labelled_sample(labels, "doc_id", "toxic", 5, 50).collect()]
     assert len(got) == 50 and all(zlib.crc32(str(k).encode()) % 5 for k in got)
+
+
+def test_the_corpus_is_shared_at_the_full_order(spark):
+    """Every n-gram of unlabelled and labelled documents, by the tables as by hand."""
+    from collections import Counter
+    from math import log
+
+    from linkledger.llm.toxicity import BEGIN, END, UNIT, blocks, gram_counts, gram_ratios
+
+    labelled = [("grumbold men", 0, 1), ("kind old men", 0, 0), ("vexnit men grumbolds", 1, 1), ("kind women", 1, 0)]
+    plain = ["grumbold zebra quagga", "zebra zebras", "", None, "kind zebroid \U00010400\U00010401"]
+    docs = spark.createDataFrame([*((k, t) for k, (t, _, _) in enumerate(labelled)),
+                                  *((k + 10, t) for k, t in enumerate(plain))], "doc_id long, text string")
+    known = spark.createDataFrame([(k, h, y) for k, (_, h, y) in enumerate(labelled)], "_lid long, _half int, _label int")
+    counts = gram_counts(blocks(docs, known, "doc_id", "text"))
+
+    def top(texts):
+        out = Counter()
+        for w in " ".join(t or "" for t in texts).lower().split():
+            x = BEGIN * 4 + w + END
+            out.update(x[i:i + 5] for i in range(len(x) - 4))
+        return out
+
+    shared = top([*(t for t, _, _ in labelled), *plain])
+    assert {r["gram"]: r["n"] for r in counts.collect()} == shared      # rare ones of unlabelled rows too
+    got = {r["gram"]: r for r in gram_ratios(counts).collect()}
+    assert got.keys() == shared.keys()
+    for name, halves in (("all", (0, 1)), ("h0", (0,)), ("h1", (1,))):
+        toxic, ordinary = (KneserNey(top([t for t, h, y in labelled if y == label and h in halves]), shared)
+                           for label in (1, 0))
+        for g, r in got.items():
+            assert r[name] * UNIT == pytest.approx(log(toxic.probability(g) / ordinary.probability(g)), abs=1e-6)
