@@ -3,8 +3,10 @@
 A message is parsed into its own words and its quoted passages, with the level
 that their ``>`` marks nest to; a line that announces a quotation ("On ... wrote:")
 goes with the passage that follows it. Passages are normalised (lower case, one
-space between words) and hashed at three grains: the whole run of quoted lines of a
-level, its paragraphs, and its lines. A message's own words are hashed likewise.
+space between words) and hashed at four grains: the whole run of quoted lines of a
+level, its paragraphs, its lines, and the sentences of its paragraphs, however those
+are wrapped. A message's own words are hashed likewise. A quotation of less than a
+sentence, that is no line either, has no original.
 
 A quoted passage is joined to its original: the first message of the conversation
 whose own words hold it, if that message is earlier; else the first message of any
@@ -39,6 +41,8 @@ from .common import whole_text
 
 _MARKS = re.compile(r"^(?:[ \t]*>)+")
 _LINES = re.compile(r"\r\n|\r|\n")
+# after a full stop, with or without a closing mark; without a space where the script has none
+_SENTENCES = re.compile("(?<=[.!?\u2026])\\s+|(?<=[.!?\u2026][\"')\\]\u201d\u2019\u00bb])\\s+|(?<=[\u3002\uff01\uff1f])")
 _ANNOUNCES = re.compile(r"^\s*on\b.*\bwrote:\s*$", re.IGNORECASE)
 
 PASSAGE = "struct<level:int,passage:int,words:int,hash:long>"
@@ -57,14 +61,15 @@ def _hash(text: str) -> int:
 
 
 def _units(lines: list[str]) -> dict[str, int]:
-    """Normalised text -> number of words, for the whole, its paragraphs and its lines."""
+    """Normalised text -> number of words, for the whole, its paragraphs, sentences and lines."""
     units = [normalised(" ".join(lines)), *map(normalised, lines)]
     paragraph: list[str] = []
     for line in [*lines, ""]:
         if line.strip():
             paragraph.append(line)
         else:
-            units.append(normalised(" ".join(paragraph)))
+            joined = " ".join(paragraph)
+            units += map(normalised, [joined, *_SENTENCES.split(joined)])
             paragraph = []
     return {u: u.count(" ") + 1 for u in units if u}
 

@@ -1,3 +1,5 @@
+import re
+
 from linkledger.llm.quotation import normalised, parse, reply_order
 
 SCHEMA = "conv_id long, turn int, role string, text string"
@@ -94,3 +96,27 @@ def test_odd_rows(spark):
     assert len(got) == len(rows) and sum(r["conv_id"] is None for r in got) == 1
     assert [r["linked"] for r in got if r["turn"] is None] == [0]
     assert talk(spark, TALK[:0]) == []
+
+
+def test_sentences_of_a_line_and_of_a_wrapped_paragraph_match_a_search_of_the_text(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = [(0, 0, "a", "Use sorted(). It is stable."), (0, 1, "u", "> Use sorted().\nThanks a lot!")]
+    for c in range(1, 6):
+        said = []
+        for t in range(8):
+            own = " ".join(f"Sentence {c}{t}{k} has {rng.randrange(99)} \"words\" in it{rng.choice(['.', '!', '?'])}" for k in range(4))
+            quoted = rng.choice(said) if said else ""
+            k = rng.randrange(3)
+            part = " ".join(re.findall(r"Sentence.*?[.!?]", quoted)[k:k + 2]).split(" ")
+            wrapped = [" ".join(part[i:i + 5]) for i in range(0, len(part), 5)]
+            rows.append((c, t, "u", "".join(f"> {x}\n" for x in wrapped if x) + "\n" + own))
+            said.append(own)
+    got = {(r["conv_id"], r["turn"]): r["answers"] for r in talk(spark, rows)}
+    own = {(c, t): normalised(" ".join(x for x in text.split("\n") if x[:1] != ">")) for c, t, _, text in rows}
+    want = {}
+    for c, t, _, text in rows:
+        q = normalised(" ".join(x[1:] for x in text.split("\n") if x[:1] == ">"))
+        want[c, t] = min((u for d, u in own if d == c and u < t and q in own[d, u]), default=None) if q else None
+    assert got == want and got[0, 1] == 0 and sum(x is not None for x in got.values()) > 20
