@@ -84,18 +84,40 @@ def fuzzy_best_match(mentions: DataFrame, gazetteer: DataFrame, threshold: float
 LEVELS = (0.75, 0.5, 0.3, 0.2, 0.1)
 
 
+def _best_of_any(mentions: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """Best entity per mention of all that share a trigram with it, at any similarity;
+    one without a shared trigram gets a null entity with confidence 0. A pair is one row
+    for each trigram that it shares, counted map-side."""
+    m = mentions.select("mention").withColumn("tg", trigrams("mention")).withColumn("n", F.size("tg"))
+    g = (gazetteer.select("entity_id", "name", "address").distinct()
+         .withColumn("tg", trigrams("name")).withColumn("gn", F.size("tg")))
+    shared = (m.select("mention", "n", F.explode("tg").alias("t"))
+              .join(g.select("entity_id", "name", "address", "gn", F.explode("tg").alias("t")), "t")
+              .groupBy("mention", "n", "entity_id", "name", "address", "gn").agg(F.count(F.lit(1)).alias("both")))
+    scored = shared.withColumn(      # as similarity_of_sets has it
+        "confidence", (F.col("both") / (F.col("n") + F.col("gn") - F.col("both"))).cast("float").cast("double"))
+    best = (scored.groupBy("mention")
+            .agg(F.max_by(F.struct("entity_id", "name", "address", "confidence"),
+                          F.struct(F.col("confidence"), -F.col("entity_id"))).alias("b")))
+    return mentions.select("mention").join(best, "mention", "left").select(
+        "mention", F.col("b.entity_id").alias("entity_id"), F.col("b.name").alias("matched_name"),
+        F.col("b.address").alias("address"), F.coalesce("b.confidence", F.lit(0.0)).alias("confidence"))
+
+
 def nearest_match(mentions: DataFrame, gazetteer: DataFrame, mention_col: str = "mention",
                   levels: tuple[float, ...] = LEVELS) -> DataFrame:
-    """The best entity per distinct mention down to the last of ``levels``, same columns
-    as ``fuzzy_best_match``. A mention that matches at a level has its best match there,
-    so the prefix filter of the level is exact, and wide joins see only the rest."""
+    """The best entity of each distinct mention, same columns as ``fuzzy_best_match``. A
+    mention that matches at a level has its best match there, so the prefix filter of the
+    level is exact, and wide joins see only the rest; what no level matches is joined on
+    any shared trigram. One without a shared trigram has a null entity and confidence 0."""
     rest = cut_lineage(mentions.select(F.col(mention_col).alias("mention")).where(F.col("mention").isNotNull()).distinct())
     out = None
     for t in levels:
         hit = cut_lineage(fuzzy_best_match(rest, gazetteer, t, strict=False))
         out = hit if out is None else out.unionByName(hit)
         rest = rest.join(hit.select("mention"), "mention", "left_anti")
-    return out
+    last = _best_of_any(rest, gazetteer)
+    return last if out is None else out.unionByName(last)
 
 
 def register_fuzzy_search(spark: SparkSession, gazetteer: DataFrame, name: str = "fuzzy_search",

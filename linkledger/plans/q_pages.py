@@ -220,8 +220,9 @@ _NEAREST_SQL = f"""best AS (SELECT mention, arg_max(entity_id, (c, -entity_id))
 WITH {_CUST_SQL}, {_NEAREST_SQL}
 SELECT mention, entity_id, matched_name, round(confidence, 9) AS confidence FROM best""")
 def q_nearest_match(spark, sf):
-    """The nearest entity of each mention, also below the threshold of acceptance."""
-    out = nearest_match(inputs.mentions(spark, sf), inputs.gazetteer(spark, sf))
+    """The nearest entity of each mention, also below the threshold of acceptance; the
+    oracle asks for those from 0.1 on, the operator finds them all."""
+    out = nearest_match(inputs.mentions(spark, sf), inputs.gazetteer(spark, sf)).where("confidence >= 0.1")
     return out.select("mention", "entity_id", "matched_name", _r(F.col("confidence")).alias("confidence"))
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkledger import session
+from linkledger.functions.trigram import similarity
 from linkledger.operators import frontier as fr
 from linkledger.operators import pages as pg
 from linkledger.operators import rank
@@ -14,7 +15,7 @@ from linkledger.operators import state as stt
 from linkledger.operators.html_profile import profile_html, profile_pages
 from linkledger.operators.mentions import spot_capitalised, spot_gazetteer
 from linkledger.operators.resolve import resolve_mentions
-from linkledger.operators.similarity import fuzzy_best_match, register_fuzzy_search
+from linkledger.operators.similarity import fuzzy_best_match, nearest_match, register_fuzzy_search
 from linkledger.plans.rounds import discovered_from_search, gazetteer_extractor, run_round
 from linkledger.sources.snapshots import latest_version, write_state
 from linkledger.sources.search import search_queries
@@ -171,6 +172,19 @@ def test_rejects_are_named_after_their_nearest_entity(spark):
     assert got == {"Fancy Place": ("none", "Fancy Resto Paris"), "Other": ("exact", None), "xyz": ("none", None)}
 
 
+def test_the_nearest_entity_has_no_threshold(spark):
+    name = "colours of bright morning umbrellas"
+    g = spark.createDataFrame([(1, "Zebra", "x"), (3, name, None), (2, name, "y")], "entity_id long, name string, address string")
+    m = spark.createDataFrame([("cold anvil",), ("xyz",), ("",), (None,)], "mention string")
+    got = {r["mention"]: r for r in nearest_match(m, g).collect()}
+    assert got.keys() == {"cold anvil", "xyz", ""}
+    near = got["cold anvil"]
+    assert (near["entity_id"], near["address"]) == (2, "y") and 0 < near["confidence"] < 0.1
+    want = g.limit(4).where("entity_id = 2").select(similarity(F.lit("cold anvil"), "name")).first()[0]
+    assert near["confidence"] == want
+    assert all(got[x]["entity_id"] is None and got[x]["confidence"] == 0 for x in ("xyz", ""))
+
+
 def test_pagerank_with_dangling_nodes(spark):
     edges = [("a", "b"), ("b", "c"), ("a", "c"), ("d", "a"), ("a", "b")]
     nodes = ["a", "b", "c", "d", "e"]
