@@ -15,6 +15,7 @@ from .mixing import mix_sources
 from .packing import pack
 from .pseudonyms import pseudonymise
 from .quotation import reply_order
+from .sharding import shard_rows
 from .simhash import simhash_components
 from .site_quality import site_quality
 from .toxicity import toxicity
@@ -107,6 +108,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+@query()
+def op11_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(read(spark, sf_dir, "documents"), shards=24)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
