@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,45 +35,114 @@ from .common import map_texts
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 LENGTH = 4096
-#: Chunks whose ids a worker process remembers at most; then it starts over.
-REMEMBERED = 3 << 18
+#: Bytes of texts that are taken apart at once.
+BLOCK_BYTES = 1 << 23
+#: Words whose ids a worker process remembers, in each of two generations.
+REMEMBERED = 1 << 18
+#: New words that are encoded as one text.
+JOINED = 4096
 #: Runs are broadcast up to this number; a run has five longs.
 BROADCAST_RUNS = 200_000
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
+# What each byte is. The tokenizer drops white space and takes a run of letters, or of
+# other signs, for itself, so a text is cut there: at ASCII blanks, and between a letter and
+# an ASCII sign. Nothing is cut next to other characters, digits (each by itself), an
+# apostrophe (contractions) and the bar (special tokens).
+_BLANK, _OTHER, _LETTER, _SIGN = range(4)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[list(b" \t\r\n")] = _BLANK
+_KIND[[c for c in range(128) if chr(c).isalpha()]] = _LETTER
+_KIND[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{}~")] = _SIGN
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPECIAL = re.compile(rb"<\|(?:start|end)oftext\|>")
+#: Words of nothing but letters that are composed as they stand.
+_LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+")
+_WORD_END = "</w>"
 
-#: Control characters that split() takes for white space and the tokenizer does not.
-_NOT_BLANK = re.compile("[\x1c-\x1f]")
 
+def words_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words, the number of each word in the texts, and how many words end with
+    each text."""
+    text = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    kind = _KIND[text]
+    latin = np.flatnonzero(text[:-1] == 0xC3)              # two bytes, a letter but for the signs of times and division
+    latin = latin[(text[latin + 1] != 0x97) & (text[latin + 1] != 0xB7)]
+    kind[latin] = kind[latin + 1] = _LETTER
+    inside = kind != _BLANK
+    begins = inside.copy()
+    before, after = kind[:-1], kind[1:]
+    begins[1:] &= (before == _BLANK) | (before != after) & (before >= _LETTER) & (after >= _LETTER)
+    at = np.flatnonzero(begins)
+    ends = np.append(np.cumsum(inside, dtype=np.int32)[at] - 1, np.count_nonzero(inside)).astype(np.int32)
+    # special tokens are known by their case
+    lower = _LOWER[text[inside]]
+    data = text[inside] if _SPECIAL.search(lower.tobytes()) else lower
+    coded = pa.StringArray.from_buffers(len(at), pa.py_buffer(ends), pa.py_buffer(data)).dictionary_encode()
+    closed = np.cumsum([len(t) + 1 for t in texts]) - 1
+    return coded.dictionary, coded.indices.to_numpy(), np.searchsorted(at, closed)
 
-class ChunkIds(dict):
-    """White-space-separated chunk -> its ids as little-endian 32-bit bytes. The
-    tokenizer drops white space, and nothing it does reaches across it, so ids of a
-    text are those of its chunks in order."""
+
+class WordIds:
+    """Word -> its ids as little-endian 32-bit bytes. Words met lately are remembered: once the
+    young ones are too many, they become the old ones, and those are forgotten.
+
+    New words of letters are encoded together, by the tokenizer without the steps that leave
+    them as they are; each ends with its only token that ends a word."""
 
     def __init__(self, tokenizer):
-        super().__init__()
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self.tokenizer = tokenizer
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.plain = Tokenizer.from_str(tokenizer.to_str())
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith(_WORD_END)]] = True
+
+    def of(self, words: list[str]) -> list[bytes]:
+        young, old = self.young, self.old
+        found = [young.get(w) for w in words]
+        new = []
+        for k, ids in enumerate(found):
+            if ids is None:
+                ids = old.get(words[k])
+                if ids is None:
+                    new.append(k)
+                else:
+                    found[k] = young[words[k]] = ids
+        for k, ids in zip(new, self.encode([words[k] for k in new])):
+            found[k] = young[words[k]] = ids
+        if len(young) > REMEMBERED:
+            self.young, self.old = {}, young
+        return found
 
-    def encode(self, text: str) -> bytes:
-        chunks = [c for c in re.split("[ \t\r\n]+", text) if c] if _NOT_BLANK.search(text) else text.split()
-        if len(self) > REMEMBERED:
-            self.clear()
-        if new := [c for c in set(chunks) if c not in self]:
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self[c] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, chunks))
+    def encode(self, words: list[str]) -> list[bytes]:
+        letters = [w for w in words if _LETTERS.fullmatch(w)]
+        rest = [w for w in words if not _LETTERS.fullmatch(w)]
+        known = {w: np.array(e.ids, "<u4").tobytes()
+                 for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))}
+        joined = [" ".join(letters[k:k + JOINED]).lower() for k in range(0, len(letters), JOINED)]
+        ids = np.array([i for e in self.plain.encode_batch_fast(joined, add_special_tokens=False) for i in e.ids], "<u4")
+        past = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        raw = ids.tobytes()
+        known |= {w: raw[4 * first:4 * end] for w, first, end in zip(letters, [0, *past], past)}
+        return [known[w] for w in words]
 
 
 @lru_cache(maxsize=1)
-def _chunk_ids(path: str) -> ChunkIds:
+def _word_ids(path: str) -> WordIds:
     """One for a worker process, so tasks go on with what earlier ones have met."""
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return ChunkIds(Tokenizer.from_file(path))
+    return WordIds(Tokenizer.from_file(path))
 
 
 def tokenizer_path() -> str:
@@ -81,22 +151,51 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def text_ids(texts: list[bytes], known: WordIds, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, each closed by ``end_id``, and where each text ends."""
+    words, numbers, closed = words_of(texts)
+    ids = [*known.of(words.to_pylist()), end_id.to_bytes(4, "little")]
+    size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+    first = np.cumsum(size) - size
+    flat = np.frombuffer(b"".join(ids), "<u4")
+    numbers = np.insert(numbers, closed, len(words))
+    each = size[numbers]
+    ends = np.cumsum(each)
+    out = flat[np.repeat(first[numbers] - (ends - each), each) + np.arange(ends[-1])]
+    return out, ends[closed + np.arange(len(texts))]
+
+
+def _blocks(texts: list[str]) -> Iterator[list[bytes]]:
+    held, size = [], 0
+    for text in texts:
+        held.append(text.encode())
+        size += len(held[-1])
+        if size >= BLOCK_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
                  length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """(_id, piece, start, length, ids_crc32): each document's ids, closed by
     ``end_id``, in pieces of ``length``. ``path`` is the vocabulary file's place on
     the workers; None looks it up there."""
     def start():
-        known = _chunk_ids(path or tokenizer_path())
-        end = end_id.to_bytes(4, "little")
+        known = _word_ids(path or tokenizer_path())
 
         def pieces(texts: list[str]):
             out = []
-            for row, text in enumerate(texts):
-                ids = known.encode(text) + end
-                for piece, at in enumerate(range(0, len(ids), 4 * length)):
-                    part = ids[at:at + 4 * length]
-                    out.append((row, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            row = 0
+            for block in _blocks(texts):
+                ids, ends = text_ids(block, known, end_id)
+                begin = 0
+                for end in ends.tolist():
+                    for piece, at in enumerate(range(begin, end, length)):
+                        part = ids[at:min(at + length, end)]
+                        out.append((row, piece, at - begin, len(part), zlib.crc32(part)))
+                    row, begin = row + 1, end
             rows, piece, at, size, crc = map(list, zip(*out)) if out else ([], [], [], [], [])
             return rows, [pa.array(piece, pa.int32()), *(pa.array(c, pa.int64()) for c in (at, size, crc))]
         return pieces

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 from tokenizers import Tokenizer
 
+from linkledger.llm import packing
 from linkledger.llm.packing import pack, plan_slots, tokenizer_path
 
 from .cases import no_docs, odd_docs, odd_rows
@@ -30,6 +31,27 @@ def test_pieces_are_the_tokenizers_ids_in_gapless_sequences(spark):
     assert len(by) == -(-sum(w[3] for w in want) // 4096)
 
 
+def odd_text(rng):
+    parts = ["foo", "Bar", "don't", "O'Neil's", "a1b22", ",", ".-", "'", "''s", "|", "<|endoftext|>", "<|ENDOFTEXT|>", "x<|",
+             "\x01", "\x01\x01", "é", "É", "e\u0301", "=\u0338", "\u0338", "×", "a÷b", "ß", "İ", "Σ", "œ", "«", "日本", "\xa0", "\u2003",
+             "\x1c", "\x0b", "\x85", "\u200d", "😀", "\r", "\x00", "K", "'S", "'ll", "İ'", "\ufb01"]
+    return "".join(rng.choice(parts) + rng.choice(["", "", "", " ", "\n", "\t"]) for _ in range(rng.randint(0, 25)))
+
+
+def test_words_between_blanks_and_signs_have_the_ids_of_whole_texts(monkeypatch):
+    tok = Tokenizer.from_file(tokenizer_path())
+    monkeypatch.setattr(packing, "REMEMBERED", 40)
+    monkeypatch.setattr(packing, "JOINED", 7)
+    known = packing.WordIds(tok)
+    rng = random.Random(8)
+    for _ in range(400):
+        texts = [odd_text(rng) for _ in range(rng.randint(1, 6))]
+        ids, ends = packing.text_ids([t.encode() for t in texts], known, 1)
+        got = [part.tolist() for part in np.split(ids, ends[:-1])]
+        assert got == [tok.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert len(known.young) <= 40 + 100 and known.old
+
+
 def plain_best_fit(lengths, room):
     free = []
     for n in sorted(lengths, reverse=True):
