@@ -5,9 +5,12 @@ Found and validated in the text:
   ip      four octets of at most 255, permuted as one 32-bit number
   date    yyyy-mm-dd, dd.mm.yyyy or mm/dd/yyyy, a real day; permuted within 400 years
   ssn     ddd-dd-dddd
-  card    13 to 19 digits, single blanks or hyphens between them, that pass the Luhn
-          check; permuted digits get a new check digit
-  phone   an international or bracketed number of 10 to 15 digits; a leading +1 stays
+  card    13 to 19 digits that pass the Luhn check; permuted digits get a new check digit.
+          By themselves they may have single blanks or hyphens anywhere; beside other
+          digits, as in "2 4736 9625 7309 9581 12/27", they are one group or stand in the
+          usual ones (4-4-4-4, 4-6-5 and the like) and begin with 2 to 6
+  phone   an international or bracketed number of 10 to 15 digits, or ddd-ddd-dddd or
+          ddd.ddd.dddd; a leading +1 stays
 
 A value is a number below N = a * b. Each round splits it as (left, right) = divmod by
 b, adds a keyed hash of the right part to the left modulo a, and puts the two back
@@ -19,7 +22,8 @@ Built-in functions only, no shuffle: a text without a match is passed on after o
 scan, else its matches are rewritten between the pieces that they split it into.
 
 Defined results: null text stays null with counts of 0; candidates that fail their
-check stay; a value of a very small format, such as a one-letter name, may map to
+check stay, and cards are still looked for beside them; of an address the first 33
+labels count; a value of a very small format, such as a one-letter name, may map to
 itself; repeated rows are treated alike; an empty table gives an empty result.
 Columns other than the id and the text are not read.
 """
@@ -32,19 +36,30 @@ from pyspark.sql import functions as F
 ROUNDS = 10
 KINDS = ("email", "ip", "date", "ssn", "card", "phone")
 
-# Candidates, in this order, at the start of a run of name characters
+# No pattern repeats a group without a bound: the regex engine recurses there.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_FREE = r"(?<![A-Za-z0-9])"
 PATTERNS = {
-    "email": r"[A-Za-z0-9_%+.-]{1,64}+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
-    "ip": rf"{_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
-    "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])",
-    "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "phone": r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
-             r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,4}(?![0-9])",
+    "email": r"(?<![A-Za-z0-9_%+.-])[A-Za-z0-9_%+.-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,32}[A-Za-z]{2,}",
+    "ip": rf"{_FREE}(?<![0-9]\.){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
+    "date": rf"{_FREE}(?<![0-9][./-])"
+            r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])",
+    "ssn": rf"{_FREE}(?<![0-9][.-])[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9]|-[0-9])",
+    "phone": rf"{_FREE}(?:\+[0-9]{{1,3}}[ .-]?)?\([0-9]{{2,4}}\)[ .-]?[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}(?![0-9])"
+             rf"|{_FREE}(?<!\+)\+[0-9](?:[ .-]?[0-9]){{9,14}}(?![0-9])"
+             rf"|{_FREE}(?<![0-9][ .-])[0-9]{{3}}-[0-9]{{3}}-[0-9]{{4}}(?![0-9]|[.-][0-9])"
+             rf"|{_FREE}(?<![0-9][ .-])[0-9]{{3}}\.[0-9]{{3}}\.[0-9]{{4}}(?![0-9]|[.-][0-9])",
 }
-_START = r"(?<![A-Za-z0-9_%+.@-])"
-ANY = _START + "(?:" + "|".join(PATTERNS.values()) + ")"
+ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Where cards may be: digits, blanks and hyphens, and a letter that closes them.
+RUN = rf"{_FREE}(?<![0-9][.,])[0-9][0-9 -]{{12,}}+[A-Za-z]?"
+#: A run that is one card, however it is grouped.
+WHOLE = r"[0-9](?:[ -]?[0-9]){12,18}"
+#: Cards that begin at a group of digits among others: the usual groups, or one group.
+GROUPED = [r"[2-6][0-9]{3}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}\1[0-9]{1,3}", r"[2-6][0-9]{3}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}",
+           r"[2-6][0-9]{3}([ -])[0-9]{6}\1[0-9]{4,5}", r"[0-9]{13,19}"]
+#: Groups of digits of a card among others, at most; and its characters, with the one behind it.
+_GROUPS, _SPAN = 5, 25
 
 
 def _div(x: Column, y: Column) -> Column:
@@ -185,21 +200,69 @@ def _ssn(m: Column, key: str) -> Column:
     return _with(_digits(_only(m, "0-9"), F.lit(9), "ssn", key), lambda d: _refill(m, d))
 
 
-_PSEUDONYMS = {"email": _email, "ip": _ip, "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
+_PSEUDONYMS = {"email": _email, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone}
 
 
 def pseudonym(m: Column, key: str) -> Column:
-    """(kind, value) of a candidate; kind null, and the value as it is, if it fails its check."""
+    """(kind, value) of a match of ``ANY``; kind null, and the value as it is, if it fails its check."""
     def checked(kind: str) -> Column:
         return _with(_PSEUDONYMS[kind](m, key), lambda new: F.struct(
             F.when(new.isNotNull(), F.lit(kind)).alias("kind"), F.coalesce(new, m).alias("value")))
 
     out = F.struct(F.lit(None).cast("string").alias("kind"), m.alias("value"))
-    for kind in reversed(KINDS):
+    for kind in reversed(PATTERNS):
         out = F.when(m.rlike(f"^(?:{PATTERNS[kind]})$"), checked(kind)).otherwise(out)
     return out
 
 
+def _known(cards: Column) -> Column:
+    """The first that is there and has the right check digit."""
+    return F.get(F.filter(cards, lambda c: (F.length(c) > 0) & (luhn_sum(_only(c, "0-9")) % 10 == 0)), F.lit(0))
+
+
+def _cards_among(run: Column, key: str) -> Column:
+    """(number of cards, text) of a run that is no card as a whole: a card may begin at each group
+    of digits. Of cards that overlap, the one behind gives way."""
+    # the digits, what stands between them, and what follows each begin, as far as a card may go
+    parts = F.struct(
+        F.regexp_extract_all(run, F.lit("[0-9]+"), F.lit(0)).alias("digits"), F.split(run, "[0-9]+").alias("gaps"),
+        F.regexp_extract_all(run, F.lit(rf"(?<![0-9])(?=([0-9][0-9A-Za-z -]{{0,{_SPAN - 1}}}))[0-9]+"), F.lit(1)).alias("ahead"))
+
+    def spans(cards: Column, i: Column) -> Column:
+        """Whether a card that begins up to ``_GROUPS`` groups ahead of group i holds it."""
+        held = F.lit(False)
+        for d in range(1, _GROUPS):
+            held = held | F.coalesce(F.regexp_count(F.get(cards, i - d), F.lit("[0-9]+")) > d, F.lit(False))
+        return held
+
+    def written(p: Column, cards: Column) -> Column:
+        out = F.transform(p["digits"], lambda g, i: F.when(
+            F.get(cards, i).isNotNull(), F.concat(F.get(p["gaps"], i), _card(F.get(cards, i), key)))
+            .when(spans(cards, i), F.lit("")).otherwise(F.concat(F.get(p["gaps"], i), g)))
+        return F.struct(F.array_size(F.filter(cards, lambda c: c.isNotNull())).alias("n"),
+                        F.concat(F.array_join(out, ""), F.element_at(p["gaps"], -1)).alias("text"))
+
+    return _with(parts, lambda p: _with(
+        F.transform(p["ahead"], lambda w: _known(F.array(*(F.regexp_extract(w, f"^{g}(?![0-9A-Za-z])", 0) for g in GROUPED)))),
+        lambda found: _with(F.transform(found, lambda c, i: F.when(~spans(found, i), c)), lambda cards: written(p, cards))))
+
+
+def _cards(text: Column, key: str) -> Column:
+    """(number of cards, text) of a text."""
+    def of_run(run: Column) -> Column:
+        one = F.regexp_extract(run, f"^({WHOLE})(?![0-9A-Za-z])[ -]*[A-Za-z]?$", 1)
+        return _with(_known(F.array(one)), lambda card: F.when(card.isNotNull(), F.struct(
+            F.lit(1).alias("n"), F.concat(_card(card, key), F.substring(run, F.length(card) + 1, F.length(run))).alias("text")
+        )).otherwise(_cards_among(run, key)))
+
+    runs = F.transform(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)), of_run)
+    joined = _with(runs, lambda done: F.struct(
+        F.aggregate(done, F.lit(0), lambda n, r: n + r["n"]).alias("n"),
+        F.array_join(F.zip_with(F.split(text, RUN), F.array_append(F.transform(done, lambda r: r["text"]), F.lit("")),
+                                lambda gap, run: F.concat(gap, run)), "").alias("text")))
+    return F.when(text.rlike(RUN), joined).otherwise(F.struct(F.lit(0).alias("n"), text.alias("text")))
+
+
 def _count(kinds: Column, kind: str) -> Column:
     return F.array_size(F.filter(kinds, lambda x: x == kind)).cast("long")
 
@@ -207,15 +270,19 @@ def _count(kinds: Column, kind: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, text with pseudonyms, and for each kind the number of values
     replaced (n_email, n_ip, ...)."""
-    text = F.col("text")
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    text = F.col("text")
+    # what has a form of its own first; cards in the pieces between, one more than there are matches
     found = src.withColumn("_new", F.when(text.rlike(ANY), F.transform(
-        F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: pseudonym(m, key))))
-    # the pieces between the matches, one more than there are matches
-    whole = F.array_join(F.zip_with(
-        F.split(text, ANY), F.array_append(F.transform("_new", lambda x: x["value"]), F.lit("")),
-        lambda gap, value: F.concat(gap, value)), "")
-    kinds = F.coalesce(F.transform("_new", lambda x: x["kind"]), F.array().cast("array<string>"))
+        F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: pseudonym(m, key))).otherwise(
+        F.array().cast("array<struct<kind:string,value:string>>"))).withColumn(
+        "_gaps", F.when(text.rlike("[0-9][0-9 -]{12}"), F.transform(F.split(text, ANY), lambda g: _cards(g, key))))
+    gaps = F.coalesce(F.transform("_gaps", lambda g: g["text"]), F.split(text, ANY))
+    whole = F.array_join(F.zip_with(gaps, F.array_append(F.transform("_new", lambda x: x["value"]), F.lit("")),
+                                    lambda gap, value: F.concat(gap, value)), "")
+    kinds = F.transform("_new", lambda x: x["kind"])
+    cards = F.coalesce(F.aggregate("_gaps", F.lit(0), lambda n, g: n + g["n"]), F.lit(0)).cast("long")
+    plain = text.isNull() | (F.array_size("_new") == 0) & F.col("_gaps").isNull()
     return found.select(
-        F.col("_id").alias(id_col), F.when(F.col("_new").isNull(), text).otherwise(whole).alias("text"),
-        *(_count(kinds, k).alias(f"n_{k}") for k in KINDS))
+        F.col("_id").alias(id_col), F.when(plain, text).otherwise(whole).alias("text"),
+        *((cards if k == "card" else _count(kinds, k)).alias(f"n_{k}") for k in KINDS))
