@@ -7,6 +7,9 @@ same formulas; callers name which one they pass.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +24,7 @@ RETRY_STATUSES = [500, 502, 503, 504]
 SEED_RELEVANCE_INITIAL = 1.0
 SEED_RELEVANCE_REPEAT = 0.99
 DERIVED_W_PARENT, DERIVED_W_URL, DERIVED_W_COUNT = 0.5, 0.3, 0.2
+DERIVED_COUNT_NORM = 5.0
 RELEVANCE_W_HEADER, RELEVANCE_W_LENGTH, RELEVANCE_W_KEYWORD, RELEVANCE_W_PARENT = 0.2, 0.2, 0.3, 0.3
 RELEVANCE_TEXT_CHARS = 3000.0
 RELEVANCE_KEYWORD_NORM = 5.0
@@ -62,51 +66,39 @@ def rejected_priority(relevance) -> Column:
     return _col(relevance) * F.lit(100)
 
 
+def _weighted(terms: list[tuple[float, Column]], top: float) -> Column:
+    """The sum of weight * term, each term a share, on a scale of 0 to ``top``; clamped to it."""
+    total = reduce(add, (F.lit(weight) * term for weight, term in terms))
+    return F.least(F.lit(top), F.greatest(F.lit(0.0), total * F.lit(top)))
+
+
+def _share(names: Column, holds) -> Column:
+    """The share of the names that ``holds`` is true of; 0 without names."""
+    return F.coalesce(F.size(F.filter(names, holds)) / F.nullif(F.array_size(names), F.lit(0)), F.lit(0.0))
+
+
+def _filled(amount: Column, enough: float) -> Column:
+    """How much of ``enough`` is there, 1 at most."""
+    return F.least(amount / F.lit(enough), F.lit(1.0))
+
+
 def derived_priority(url, names, parent_priority) -> Column:
-    """100*(.5*parent/100 + .3*share of names inside the url + .2*min(n/5, 1)), clamped to [0, 100].
-
-    ``names`` is the distinct list of validated entity names of the page."""
-    names = _col(names)
-    n = F.coalesce(F.size(names), F.lit(0))
-    low_url = F.lower(_col(url))
-    hits = F.size(F.filter(names, lambda r: low_url.contains(F.lower(r))))
-    share = F.when(n > 0, hits / n).otherwise(F.lit(0.0))
-    parent_signal = _col(parent_priority) / F.lit(100.0)
-    count_signal = F.least(n / F.lit(5.0), F.lit(1.0))
-    combined = (
-        F.lit(DERIVED_W_PARENT) * parent_signal
-        + F.lit(DERIVED_W_URL) * share
-        + F.lit(DERIVED_W_COUNT) * count_signal
-    )
-    return F.least(F.lit(100.0), F.greatest(F.lit(0.0), combined * F.lit(100.0)))
-
-
-def page_relevance(text_lower, header_texts_lower, names, parent_priority,
-                   keywords: list[str] | None = None) -> Column:
-    """.2*H + .2*L + .3*K + .3*parent/100, clamped to [0, 1].
-
-    H: share of names found inside any single h1-h3 text; L: min(chars/3000, 1);
-    K: min(#keywords present / 5, 1). All comparisons on lower-cased text."""
-    kws = RELEVANCE_KEYWORDS if keywords is None else keywords
-    text = _col(text_lower)
-    headers = _col(header_texts_lower)
-    names = _col(names)
-    n = F.coalesce(F.size(names), F.lit(0))
-    hits = F.size(
-        F.filter(names, lambda r: F.exists(headers, lambda h: h.contains(F.lower(r))))
-    )
-    header_signal = F.when(n > 0, hits / n).otherwise(F.lit(0.0))
-    length_signal = F.least(F.length(text) / F.lit(RELEVANCE_TEXT_CHARS), F.lit(1.0))
-    kw_count = None
-    for kw in kws:
-        c = F.when(text.contains(kw), F.lit(1)).otherwise(F.lit(0))
-        kw_count = c if kw_count is None else kw_count + c
-    keyword_signal = F.least(kw_count / F.lit(RELEVANCE_KEYWORD_NORM), F.lit(1.0))
-    parent_signal = _col(parent_priority) / F.lit(100.0)
-    combined = (
-        F.lit(RELEVANCE_W_HEADER) * header_signal
-        + F.lit(RELEVANCE_W_LENGTH) * length_signal
-        + F.lit(RELEVANCE_W_KEYWORD) * keyword_signal
-        + F.lit(RELEVANCE_W_PARENT) * parent_signal
-    )
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), combined))
+    """B9, 0 to 100: the parent's priority, the share of ``names`` (the distinct validated
+    entity names of the page) inside the url, and how many there are, five counting as full."""
+    names, low = _col(names), F.lower(_col(url))
+    return _weighted([
+        (DERIVED_W_PARENT, _col(parent_priority) / F.lit(100.0)),
+        (DERIVED_W_URL, _share(names, lambda n: low.contains(F.lower(n)))),
+        (DERIVED_W_COUNT, _filled(F.coalesce(F.array_size(names), F.lit(0)), DERIVED_COUNT_NORM))], 100.0)
+
+
+def page_relevance(text_lower, header_texts_lower, names, parent_priority, keywords: list[str] | None = None) -> Column:
+    """B10, 0 to 1: the share of ``names`` inside any one header, the length of the text, the
+    number of keywords in it, and the parent's priority. Texts come lower-cased."""
+    text, headers = _col(text_lower), _col(header_texts_lower)
+    words = F.array(*map(F.lit, RELEVANCE_KEYWORDS if keywords is None else keywords))
+    return _weighted([
+        (RELEVANCE_W_HEADER, _share(_col(names), lambda n: F.exists(headers, lambda h: h.contains(F.lower(n))))),
+        (RELEVANCE_W_LENGTH, _filled(F.length(text), RELEVANCE_TEXT_CHARS)),
+        (RELEVANCE_W_KEYWORD, _filled(F.size(F.filter(words, text.contains)), RELEVANCE_KEYWORD_NORM)),
+        (RELEVANCE_W_PARENT, _col(parent_priority) / F.lit(100.0))], 1.0)

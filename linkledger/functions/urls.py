@@ -6,6 +6,8 @@ The split follows the generic URI syntax: optional ``scheme:``, optional
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,19 +73,21 @@ def homepage(url) -> Column:
     return F.concat(scheme(url), F.lit("://"), netloc(url), F.lit("/"))
 
 
+def _any_of(words: list[str]) -> str:
+    return "|".join(map(re.escape, words))
+
+
+#: Points by what a URL holds: of the rules of one line, the first that fits counts.
+TRUST_BASE = 0.5
+TRUST_RULES = [[(TRUSTED_TLD, 0.5)],
+               [("(?i)" + _any_of(HIGH_TRUST_WORDS), 0.5), ("(?i)" + _any_of(MID_TRUST_WORDS), 0.3)]]
+
+
 def url_trust(url) -> Column:
-    """.5 base, +.5 for an org/gov/edu label, then +.5 for a high-trust word
-    or else +.3 for a mid-trust word; clamped to [0, 1]."""
+    """The base and the points of ``TRUST_RULES``, clamped to [0, 1]."""
     u = _col(url)
-    low = F.lower(u)
-    high = None
-    for w in HIGH_TRUST_WORDS:
-        c = low.contains(w)
-        high = c if high is None else (high | c)
-    mid = None
-    for w in MID_TRUST_WORDS:
-        c = low.contains(w)
-        mid = c if mid is None else (mid | c)
-    base = F.lit(0.5) + F.when(u.rlike(TRUSTED_TLD), F.lit(0.5)).otherwise(F.lit(0.0))
-    base = base + F.when(high, F.lit(0.5)).when(mid, F.lit(0.3)).otherwise(F.lit(0.0))
-    return F.greatest(F.lit(0.0), F.least(base, F.lit(1.0)))
+
+    def points(rules: list[tuple[str, float]]) -> Column:
+        fits = [F.when(u.rlike(pattern), F.lit(value)) for pattern, value in rules]
+        return F.coalesce(*fits, F.lit(0.0))
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), sum(map(points, TRUST_RULES), F.lit(TRUST_BASE))))
