@@ -36,3 +36,16 @@ def similarity_of_sets(a, b) -> Column:
 
 def similarity(s1, s2) -> Column:
     return similarity_of_sets(trigrams(s1), trigrams(s2))
+
+
+def signature(tg) -> Column:
+    """64 bits, one set for each trigram's hash: what two sets can share at most is known from theirs."""
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))
+    return F.aggregate(_col(tg), F.lit(0).cast("long"), lambda s, t: s.bitwiseOR(bit(t)))
+
+
+def shared_at_most(n, sig, other_n, other_sig) -> Column:
+    """A bit that only one set has is a trigram that the other lacks."""
+    n, sig, other_n, other_sig = map(_col, (n, sig, other_n, other_sig))
+    return F.least(n - F.bit_count(sig.bitwiseAND(F.bitwise_not(other_sig))),
+                   other_n - F.bit_count(other_sig.bitwiseAND(F.bitwise_not(sig))))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import scoring, urls
 from ..session import cut_lineage
 from .quality import quality_fold
-from .state import GraphState, assign_dense_ids, next_id, touch_urls
+from .state import GraphState, assign_dense_ids, merged, next_id, touch_urls
 
 SOURCE_TYPE = "webpage"
 
@@ -51,54 +51,65 @@ def split_new_seen(firsts: DataFrame, url_table: DataFrame) -> tuple[DataFrame,
     return firsts.join(known, "norm_url", "left_anti"), firsts.join(known, "norm_url", "left_semi")
 
 
-def validate_batch(discovered: DataFrame, state: GraphState, as_of: str,
-                   quality_kwargs: dict | None = None) -> tuple[GraphState, DataFrame]:
-    """One validate pass over a discovered batch.
-
-    Returns (next state, new frontier rows (url_id, full_url, priority, priority_int))."""
+def validate_changes(discovered: DataFrame, state: GraphState, as_of: str, quality_kwargs: dict | None = None,
+                     quality: DataFrame | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """One validate pass over a discovered batch: the rows of each table that it writes, new or in
+    place of the row with their id, and the new frontier rows (url_id, full_url, priority,
+    priority_int). ``quality`` (domain, visit_count, quality_score), if given, is the fold of the
+    batch's domains, made elsewhere."""
     ev = discovered_events(discovered)
 
     # domains: visits and ordered quality fold, new ones get ids by first sighting
     dstate = state.domain.select(F.col("domain_name").alias("domain"), "visit_count", "quality_score")
     # the batch is read twice, for the fold and for the first sightings; all four tables follow from these two
-    folded = cut_lineage(quality_fold(ev.select("domain", "seq", "relevance"), dstate, **(quality_kwargs or {})))
+    if quality is None:
+        folded = quality_fold(ev.select("domain", "seq", "relevance"), dstate, **(quality_kwargs or {}))
+    else:
+        known = dstate.select("domain", F.lit(False).alias("_new"))
+        folded = quality.join(known, "domain", "left").withColumn("is_new", F.coalesce("_new", F.lit(True)))
+    folded = cut_lineage(folded)
     firsts = cut_lineage(frontier_scores(first_sightings(ev)))
     dom_first = firsts.groupBy("domain").agg(F.min("first_seq").alias("first_seq"))
     new_dom = folded.where("is_new").join(dom_first, "domain").select(
         F.col("domain").alias("domain_name"), "visit_count", "quality_score", "first_seq")
     new_dom = assign_dense_ids(new_dom, ["first_seq"], "domain_id", next_id(state.domain, "domain_id"))
-    upd = folded.where(~F.col("is_new")).select(
-        F.col("domain").alias("domain_name"),
-        F.col("visit_count").alias("_v"), F.col("quality_score").alias("_q"))
-    domain_next = state.domain.join(upd, "domain_name", "left").select(
-        "domain_id", "domain_name",
-        F.coalesce("_v", "visit_count").alias("visit_count"),
-        F.coalesce("_q", "quality_score").alias("quality_score"),
-    ).unionByName(new_dom.select("domain_id", "domain_name", "visit_count", "quality_score"))
+    upd = folded.where(~F.col("is_new")).select(F.col("domain").alias("domain_name"), "visit_count", "quality_score")
+    domains = (state.domain.select("domain_id", "domain_name").join(upd, "domain_name")
+               .select("domain_id", "domain_name", "visit_count", "quality_score")
+               .unionByName(new_dom.select("domain_id", "domain_name", "visit_count", "quality_score")))
 
     # sources: a 'webpage' source for every touched domain that has none
-    touched = domain_next.join(dom_first.withColumnRenamed("domain", "domain_name"), "domain_name")
+    touched = domains.join(dom_first.withColumnRenamed("domain", "domain_name"), "domain_name")
     need_src = touched.join(state.source.select("domain_id"), "domain_id", "left_anti").select(
         "domain_id", F.lit(SOURCE_TYPE).alias("source_type"), "first_seq")
-    new_src = assign_dense_ids(need_src, ["first_seq"], "source_id", next_id(state.source, "source_id"))
-    source_next = state.source.unionByName(new_src.select("source_id", "domain_id", "source_type"))
+    sources = assign_dense_ids(need_src, ["first_seq"], "source_id", next_id(state.source, "source_id")).select(
+        "source_id", "domain_id", "source_type")
 
     # urls: first sighting decides insert vs touch; priority from its relevance
     new_u, seen_u = split_new_seen(firsts, state.url)
-    src_by_domain = source_next.groupBy("domain_id").agg(F.min("source_id").alias("source_id")) \
-        .join(domain_next.select("domain_id", F.col("domain_name").alias("domain")), "domain_id")
+    src_by_domain = state.source.unionByName(sources).groupBy("domain_id").agg(F.min("source_id").alias("source_id")) \
+        .join(domains.select("domain_id", F.col("domain_name").alias("domain")), "domain_id")
     # one row per domain, itself a shuffle output: AQE broadcasts it from its
     # measured size, else splits the partition of a domain owning many new URLs
     new_u = new_u.join(src_by_domain.select("domain", "source_id"), "domain", "left")
     new_u = assign_dense_ids(new_u, ["first_seq"], "url_id", next_id(state.url, "url_id"))
     ts = F.lit(as_of).cast("timestamp")
-    url_next = touch_urls(state.url, seen_u.select(F.col("norm_url").alias("full_url")), as_of).unionByName(
-        new_u.select("url_id", "source_id", F.col("norm_url").alias("full_url"),
-                     ts.alias("first_seen"), ts.alias("last_crawled")))
+    seen = seen_u.select(F.col("norm_url").alias("full_url"))
+    again = touch_urls(state.url.join(seen, "full_url", "left_semi"), seen, as_of)
+    found = new_u.select("url_id", "source_id", F.col("norm_url").alias("full_url"),
+                         ts.alias("first_seen"), ts.alias("last_crawled"))
     queued = new_u.select("url_id", F.col("norm_url").alias("full_url"), "priority", "priority_int")
-    queue_next = state.url_queue.unionByName(queued.select("url_id", "priority", "priority_int"))
+    return {"domain": domains, "source": sources, "url": again.unionByName(found),
+            "url_queue": queued.select("url_id", "priority", "priority_int")}, queued
 
-    return state.with_(domain=domain_next, source=source_next, url=url_next, url_queue=queue_next), queued
+
+def validate_batch(discovered: DataFrame, state: GraphState, as_of: str,
+                   quality_kwargs: dict | None = None) -> tuple[GraphState, DataFrame]:
+    """One validate pass over a discovered batch.
+
+    Returns (next state, new frontier rows (url_id, full_url, priority, priority_int))."""
+    changes, queued = validate_changes(discovered, state, as_of, quality_kwargs)
+    return merged(state, changes), queued
 
 
 # ---------------------------------------------------------------- C2 / B15
@@ -146,6 +157,12 @@ def frontier_head(url_queue: DataFrame, url_table: DataFrame, n: int = 1) -> Dat
             .select("url_id", "full_url", "priority", "priority_int"))
 
 
+def entity_queue_head(entity_queue: DataFrame, n: int = 1) -> DataFrame:
+    """the n highest-priority names, ties by name."""
+    return (entity_queue.orderBy(F.col("priority_int").desc(), F.col("priority").desc(), F.col("name").asc()).limit(n)
+            .select("name", "priority", "priority_int"))
+
+
 def frontier_rank(url_queue: DataFrame, url_table: DataFrame) -> DataFrame:
     """whole-frontier drain order as a dense 1-based rank (range-partitioned,
     no single-partition window)."""

@@ -45,6 +45,29 @@ def _fold_sorted(arr: Column) -> Column:
     return F.aggregate(arr, _identity(), _compose)
 
 
+def fold_chunks(events: DataFrame, chunk_size: int) -> DataFrame:
+    """(domain, chunk, n, t_all, t_skip) of (domain, chunk, seq, delta), at most ``chunk_size`` events
+    a chunk: the triple of all its events, and of all but the first."""
+    def triples(l: Column) -> Column:
+        return _fold_sorted(F.transform(l, lambda e: _triple(e["delta"], F.lit(QUALITY_LO), F.lit(QUALITY_HI))))
+    return (events.groupBy("domain", "chunk").agg(F.sort_array(F.collect_list(F.struct("seq", "delta"))).alias("l"))
+            .select("domain", "chunk", F.size("l").cast("long").alias("n"), triples(F.col("l")).alias("t_all"),
+                    triples(F.slice("l", 2, chunk_size)).alias("t_skip")))
+
+
+def compose_nodes(nodes: DataFrame, parent: Column) -> DataFrame:
+    """(domain, chunk, n, t_all, t_skip) of the parents of such nodes, children in order."""
+    l = F.sort_array(F.collect_list(F.struct("chunk", "n", "t_all", "t_skip")))
+    return nodes.withColumn("_p", parent).groupBy("domain", "_p").agg(l.alias("l"), F.sum("n").alias("n")).select(
+        "domain", F.col("_p").alias("chunk"), "n", _fold_sorted(F.transform("l", lambda e: e["t_all"])).alias("t_all"),
+        _fold_sorted(F.transform("l", lambda e, i: F.when(i == 0, e["t_skip"]).otherwise(e["t_all"]))).alias("t_skip"))
+
+
+def applied(triple: Column, start: Column) -> Column:
+    """The value that a triple makes of ``start``."""
+    return F.least(F.greatest(start + triple["d"], triple["lo"]), triple["hi"])
+
+
 def quality_fold(
     events: DataFrame,
     state: DataFrame | None = None,
@@ -76,20 +99,7 @@ def quality_fold(
     # start at 0 so that every level halves the id range by fan_in
     bounds = ev.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
     seq0 = 0 if bounds["lo"] is None else int(bounds["lo"])
-    chunks = (
-        ev.withColumn("chunk", F.floor((F.col("seq") - F.lit(seq0)) / F.lit(chunk_size)).cast("long"))
-        .groupBy("domain", "chunk")
-        .agg(F.sort_array(F.collect_list(F.struct("seq", "delta"))).alias("l"))
-        .select(
-            "domain", "chunk",
-            F.size("l").cast("long").alias("n"),
-            F.col("l")[0]["seq"].alias("first_seq"),
-            _fold_sorted(F.transform("l", lambda e: _triple(e["delta"], F.lit(QUALITY_LO), F.lit(QUALITY_HI)))).alias("t_all"),
-            _fold_sorted(
-                F.transform(F.slice("l", 2, chunk_size), lambda e: _triple(e["delta"], F.lit(QUALITY_LO), F.lit(QUALITY_HI)))
-            ).alias("t_skip"),
-        )
-    )
+    chunks = fold_chunks(ev.withColumn("chunk", F.floor((F.col("seq") - F.lit(seq0)) / F.lit(chunk_size)).cast("long")), chunk_size)
     # per domain: first chunk and whether the start value is known
     per_domain = chunks.groupBy("domain").agg(
         F.min("chunk").alias("first_chunk"), F.sum("n").alias("n_events")

@@ -1,26 +1,31 @@
-"""Best gazetteer match per mention by trigram similarity, exact for
-matches above a threshold, without comparing all pairs.
-
-Prefix filter: order every trigram set by global rarity (document frequency,
-then trigram text, the same total order on both sides). Two sets with Jaccard
->= t share a trigram among the first ``n - ceil(t*n) + 1`` of each side, and
-their sizes satisfy ``t*|A| <= |B| <= |A|/t``. Candidates come from an equi-join
-on prefix trigrams; every candidate is verified exactly; the best one per
-mention is kept with a map-side partial ``max_by`` (ties: lowest id).
-
-A pair is produced once, by its first shared prefix trigram, and only if what
-the two sets still hold from that place on can reach the threshold (positional
-filter). Scale: mentions are deduplicated first. All joins are sized by adaptive
-execution from measured shuffle output, which also splits the partition of a hot
-trigram; candidate pairs are never collected per trigram group.
+"""Best gazetteer match per mention by trigram similarity, exact, without
+comparing all pairs.
+
+Above a threshold, by a prefix filter: order every trigram set by global rarity
+(document frequency, then trigram text, the same total order on both sides). Two sets
+with Jaccard >= t share a trigram among the first ``n - ceil(t*n) + 1`` of each side,
+and their sizes satisfy ``t*|A| <= |B| <= |A|/t``. Candidates come from an equi-join on
+prefix trigrams. A row of that join is five numbers and a trigram: the place in
+the set says whether what is left of both can reach the threshold, and a 64-bit signature
+of each set bounds what they share, so most pairs of names of one template end there.
+
+At any similarity, best first: each mention asks with its rarest trigrams, then with
+twice as many, as long as an entity that it has not met could still be as good as
+the best that it has. An entity that shares none of the first p trigrams has at most
+(n - p) / n.
+
+Every candidate is verified exactly; the best one per mention is kept with a map-side
+partial ``max_by`` (ties: lowest id). Mentions are deduplicated first. All joins are
+sized by adaptive execution from measured shuffle output, which also splits the
+partition of a hot trigram; candidate pairs are never collected per trigram group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.trigram import similarity_of_sets, trigrams
+from ..functions.trigram import shared_at_most, signature, similarity_of_sets, trigrams
 from ..session import cut_lineage
 
 _EPS = 1e-9
@@ -31,13 +36,45 @@ def _prefix_len(n, t: float):
     return n - F.ceil(n * F.lit(t) - F.lit(_EPS)) + 1
 
 
-def _ordered_prefix(sets: DataFrame, key: str, freq: DataFrame, t: float) -> DataFrame:
-    """One row for each prefix trigram: (key, n, pre: the prefix, i: 0-based place, tg)."""
-    ex = sets.select(key, "n", F.explode("tg").alias("tg"))
-    ranked = ex.join(freq, "tg")
-    per = ranked.groupBy(key, "n").agg(F.sort_array(F.collect_list(F.struct("df", "tg"))).alias("o"))
-    pre = F.transform(F.slice("o", 1, _prefix_len(F.col("n"), t).cast("int")), lambda x: x["tg"])
-    return per.select(key, "n", pre.alias("pre")).select(key, "n", "pre", F.posexplode("pre").alias("i", "tg"))
+def _mention_sets(mentions: DataFrame, mention_col: str) -> DataFrame:
+    """(mention, tg, n, sig), one row per distinct string."""
+    return cut_lineage(mentions.select(F.col(mention_col).alias("mention")).where(F.col("mention").isNotNull()).distinct()
+                       .withColumn("tg", trigrams("mention")).withColumn("n", F.size("tg")).withColumn("sig", signature("tg")))
+
+
+def _entity_sets(gazetteer: DataFrame) -> DataFrame:
+    """(entity_id, name, address, gtg, gn, gsig) of the entities that have a trigram."""
+    return cut_lineage(gazetteer.select("entity_id", "name", "address").withColumn("gtg", trigrams("name"))
+                       .withColumn("gn", F.size("gtg")).where("gn > 0").withColumn("gsig", signature("gtg")))
+
+
+def _rarity(m: DataFrame, g: DataFrame) -> DataFrame:
+    """(tg, df)"""
+    return (m.select(F.explode("tg").alias("tg")).unionAll(g.select(F.explode("gtg").alias("tg")))
+            .groupBy("tg").agg(F.count(F.lit(1)).alias("df")))
+
+
+def _ordered(sets: DataFrame, tg: str, freq: DataFrame) -> DataFrame:
+    """The other columns of ``sets`` and o: its trigrams, rarest first."""
+    rest = [c for c in sets.columns if c != tg]
+    ranked = sets.select(*rest, F.explode(tg).alias("tg")).join(freq, "tg")
+    per = ranked.groupBy(*rest).agg(F.sort_array(F.collect_list(F.struct("df", "tg"))).alias("o"))
+    return per.select(*rest, F.transform("o", lambda x: x["tg"]).alias("o"))
+
+
+def _scored(pairs: DataFrame, m: DataFrame, g: DataFrame) -> DataFrame:
+    """(mention, entity_id, name, address, confidence) of (mention, entity_id)."""
+    return (pairs.join(m.select("mention", "tg"), "mention")
+            .join(g.select("entity_id", "name", "address", "gtg"), "entity_id")
+            .select("mention", "entity_id", "name", "address", similarity_of_sets("tg", "gtg").alias("confidence")))
+
+
+def _best(scored: DataFrame) -> DataFrame:
+    """One row per mention: the highest confidence, then the lowest id."""
+    best = scored.groupBy("mention").agg(F.max_by(F.struct("entity_id", "name", "address", "confidence"),
+                                                  F.struct(F.col("confidence"), -F.col("entity_id"))).alias("b"))
+    return best.select("mention", F.col("b.entity_id").alias("entity_id"), F.col("b.name").alias("matched_name"),
+                       F.col("b.address").alias("address"), F.col("b.confidence").alias("confidence"))
 
 
 def fuzzy_best_match(mentions: DataFrame, gazetteer: DataFrame, threshold: float = 0.75,
@@ -47,77 +84,59 @@ def fuzzy_best_match(mentions: DataFrame, gazetteer: DataFrame, threshold: float
 
     ``gazetteer``: (entity_id, name, address). Returns (mention, entity_id,
     matched_name, address, confidence); mentions without such a match are absent."""
-    # one row per distinct string; both sides are read three times below
-    m = cut_lineage(mentions.select(F.col(mention_col).alias("mention")).where(F.col("mention").isNotNull()).distinct()
-                    .withColumn("tg", trigrams("mention")).withColumn("n", F.size("tg")).where("n > 0"))
-    g = cut_lineage(gazetteer.select("entity_id", "name", "address")
-                    .withColumn("tg", trigrams("name")).withColumn("n", F.size("tg")).where("n > 0"))
+    m, g = _mention_sets(mentions, mention_col).where("n > 0"), _entity_sets(gazetteer)
+    freq = _rarity(m, g)
 
-    freq = (m.select(F.explode("tg").alias("tg")).unionAll(g.select(F.explode("tg").alias("tg")))
-            .groupBy("tg").agg(F.count(F.lit(1)).alias("df")))
+    def prefix(sets: DataFrame, tg: str, n: str, place: str) -> DataFrame:
+        ordered = _ordered(sets, tg, freq)
+        rest = [c for c in ordered.columns if c != "o"]
+        return ordered.select(*rest, F.posexplode(F.slice("o", 1, _prefix_len(F.col(n), threshold).cast("int"))).alias(place, "tg"))
 
-    mp = _ordered_prefix(m, "mention", freq, threshold)
-    gp = _ordered_prefix(g.select("entity_id", "tg", "n"), "entity_id", freq, threshold).select(
-        "entity_id", "tg", F.col("n").alias("gn"), F.col("pre").alias("gpre"), F.col("i").alias("gi"))
+    mp = prefix(m, "tg", "n", "i")
+    gp = prefix(g.select("entity_id", "gtg", "gn", "gsig"), "gtg", "gn", "gi")
     lo = threshold - _EPS
     sizes = (F.col("gn") >= F.col("n") * F.lit(lo)) & (F.col("n") >= F.col("gn") * F.lit(lo))
-    reach = F.least(F.col("n") - F.col("i"), F.col("gn") - F.col("gi"))     # this trigram and all after it
-    enough = reach >= F.lit(threshold / (1 + threshold)) * (F.col("n") + F.col("gn")) - F.lit(_EPS)
-    first = ~F.arrays_overlap(F.slice("pre", F.lit(1), F.col("i")), F.slice("gpre", F.lit(1), F.col("gi")))
-    cand = mp.join(gp, "tg").where(sizes & enough & first).select("mention", "entity_id")
-
-    gs = g.select("entity_id", "name", "address", F.col("tg").alias("gtg"))
-    ms = m.select("mention", F.col("tg").alias("mtg"))
-    scored = (cand.join(ms, "mention")
-              .join(gs, "entity_id")
-              .select("mention", "entity_id", "name", "address",
-                      similarity_of_sets("mtg", "gtg").alias("confidence")))
-    keep = F.col("confidence") > F.lit(threshold) if strict else F.col("confidence") >= F.lit(threshold)
-    best = (scored.where(keep).groupBy("mention")
-            .agg(F.max_by(F.struct("entity_id", "name", "address", "confidence"),
-                          F.struct(F.col("confidence"), -F.col("entity_id"))).alias("b")))
-    return best.select("mention", F.col("b.entity_id").alias("entity_id"), F.col("b.name").alias("matched_name"),
-                       F.col("b.address").alias("address"), F.col("b.confidence").alias("confidence"))
-
-
-#: Each level is joined only for mentions that none above it has matched.
-LEVELS = (0.75, 0.5, 0.3, 0.2, 0.1)
-
-
-def _best_of_any(mentions: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """Best entity per mention of all that share a trigram with it, at any similarity;
-    one without a shared trigram gets a null entity with confidence 0. A pair is one row
-    for each trigram that it shares, counted map-side."""
-    m = mentions.select("mention").withColumn("tg", trigrams("mention")).withColumn("n", F.size("tg"))
-    g = (gazetteer.select("entity_id", "name", "address").distinct()
-         .withColumn("tg", trigrams("name")).withColumn("gn", F.size("tg")))
-    shared = (m.select("mention", "n", F.explode("tg").alias("t"))
-              .join(g.select("entity_id", "name", "address", "gn", F.explode("tg").alias("t")), "t")
-              .groupBy("mention", "n", "entity_id", "name", "address", "gn").agg(F.count(F.lit(1)).alias("both")))
-    scored = shared.withColumn(      # as similarity_of_sets has it
-        "confidence", (F.col("both") / (F.col("n") + F.col("gn") - F.col("both"))).cast("float").cast("double"))
-    best = (scored.groupBy("mention")
-            .agg(F.max_by(F.struct("entity_id", "name", "address", "confidence"),
-                          F.struct(F.col("confidence"), -F.col("entity_id"))).alias("b")))
-    return mentions.select("mention").join(best, "mention", "left").select(
-        "mention", F.col("b.entity_id").alias("entity_id"), F.col("b.name").alias("matched_name"),
-        F.col("b.address").alias("address"), F.coalesce("b.confidence", F.lit(0.0)).alias("confidence"))
-
-
-def nearest_match(mentions: DataFrame, gazetteer: DataFrame, mention_col: str = "mention",
-                  levels: tuple[float, ...] = LEVELS) -> DataFrame:
-    """The best entity of each distinct mention, same columns as ``fuzzy_best_match``. A
-    mention that matches at a level has its best match there, so the prefix filter of the
-    level is exact, and wide joins see only the rest; what no level matches is joined on
-    any shared trigram. One without a shared trigram has a null entity and confidence 0."""
-    rest = cut_lineage(mentions.select(F.col(mention_col).alias("mention")).where(F.col("mention").isNotNull()).distinct())
-    out = None
-    for t in levels:
-        hit = cut_lineage(fuzzy_best_match(rest, gazetteer, t, strict=False))
-        out = hit if out is None else out.unionByName(hit)
-        rest = rest.join(hit.select("mention"), "mention", "left_anti")
-    last = _best_of_any(rest, gazetteer)
-    return last if out is None else out.unionByName(last)
+    needed = F.lit(threshold / (1 + threshold)) * (F.col("n") + F.col("gn")) - F.lit(_EPS)
+    # if this is the first trigram that they share: it, and all after it
+    left = F.least(F.col("n") - F.col("i"), F.col("gn") - F.col("gi"))
+    enough = (left >= needed) & (shared_at_most("n", "sig", "gn", "gsig") >= needed)
+    pairs = mp.join(gp, "tg").where(sizes & enough).select("mention", "entity_id").distinct()
+    confidence = F.col("confidence")
+    return _best(_scored(pairs, m, g).where(confidence > threshold if strict else confidence >= threshold))
+
+
+def _jaccard(shared: Column, n: Column, gn: Column) -> Column:
+    """As ``similarity_of_sets`` has it."""
+    return (shared / (n + gn - shared)).cast("float").cast("double")
+
+
+def nearest_match(mentions: DataFrame, gazetteer: DataFrame, mention_col: str = "mention", first: int = 2) -> DataFrame:
+    """The best entity of each distinct mention, same columns as ``fuzzy_best_match``, at any
+    similarity. One that shares no trigram with any has a null entity and confidence 0.
+
+    A round asks with the next trigrams of the mentions that are open, twice as many each time;
+    only a count reaches the driver. What cannot beat the best so far, by the signatures, is
+    not verified."""
+    m, g = _mention_sets(mentions, mention_col), _entity_sets(gazetteer)
+    asked = cut_lineage(_ordered(m, "tg", _rarity(m, g)))
+    index = cut_lineage(g.select("entity_id", "gn", "gsig", F.explode("gtg").alias("tg")))
+    best = cut_lineage(_best(g.limit(0).select(F.lit("").alias("mention"), "entity_id", "name", "address", F.lit(0.0).alias("confidence"))))
+    begin, end = 0, first
+    while True:
+        held = asked.join(best.select("mention", F.col("confidence").alias("_c")), "mention", "left").withColumn(
+            "_c", F.coalesce("_c", F.lit(0.0)))
+        # of an entity not met so far: all it can share is what is left
+        unmet = ((F.col("n") - begin) / F.col("n")).cast("float").cast("double")
+        open_ = cut_lineage(held.where((F.col("n") > begin) & (unmet >= F.col("_c"))))
+        if open_.isEmpty():
+            break
+        probes = open_.select("mention", "n", "sig", "_c", F.explode(F.slice("o", begin + 1, end - begin)).alias("tg"))
+        reach = _jaccard(shared_at_most("n", "sig", "gn", "gsig"), F.col("n"), F.col("gn"))
+        pairs = probes.join(index, "tg").where(reach >= F.col("_c")).select("mention", "entity_id").distinct()
+        so_far = best.select("mention", "entity_id", F.col("matched_name").alias("name"), "address", "confidence")
+        best = cut_lineage(_best(_scored(pairs, m, g).unionByName(so_far)))
+        begin, end = end, 2 * end
+    return m.select("mention").join(best, "mention", "left").withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
 
 
 def register_fuzzy_search(spark: SparkSession, gazetteer: DataFrame, name: str = "fuzzy_search",

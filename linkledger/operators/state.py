@@ -16,6 +16,7 @@ next table; nothing is mutated in place. Tables (all DataFrames):
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -63,6 +64,32 @@ def empty_state(spark: SparkSession, entity: DataFrame | None = None) -> GraphSt
     return GraphState(**t)
 
 
+#: What tells the rows of a table apart; references only append, of the sequence the last row counts.
+KEYS = {"domain": "domain_id", "source": "source_id", "entity": "entity_id", "url": "url_id", "url_queue": "url_id",
+        "entity_queue": "name"}
+
+
+def replaced(table: DataFrame, rows: DataFrame, key: str, gone: DataFrame | None = None) -> DataFrame:
+    """``table`` with ``rows`` new or in place of those with their key, without the keys of ``gone``.
+    The changed side is the small one; adaptive execution sizes it from what it measures."""
+    away = rows.select(key) if gone is None else rows.select(key).unionByName(gone.select(key))
+    return table.join(away, key, "left_anti").select(*table.columns).unionByName(rows.select(*table.columns))
+
+
+def merged(state: GraphState, changes: dict[str, DataFrame], gone: dict[str, DataFrame] | None = None) -> GraphState:
+    """The state after a batch: ``changes`` (rows by table) and ``gone`` (keys by table) applied."""
+    def after(table: str) -> DataFrame:
+        now, rows, away = state.tables()[table], changes.get(table), (gone or {}).get(table)
+        if table == "sequence":
+            return now if rows is None else rows
+        if table not in KEYS:
+            return now if rows is None else now.unionByName(rows.select(*now.columns))
+        if rows is None:
+            return now if away is None else now.join(away.select(KEYS[table]), KEYS[table], "left_anti")
+        return replaced(now, rows, KEYS[table], away)
+    return GraphState(**{t: after(t) for t in SCHEMAS})
+
+
 # ---------------------------------------------------------------- dense ids
 
 def assign_dense_ids(df: DataFrame, order_cols: list[str], id_col: str, start: int) -> DataFrame:
@@ -169,57 +196,83 @@ def touch_urls(url: DataFrame, seen: DataFrame, as_of) -> DataFrame:
 
 # ---------------------------------------------------------------- H8
 
+#: What no row may have: rule -> (table, condition).
+ROW_RULES = {
+    "domain.quality_range": ("domain", "quality_score < -1 or quality_score > 1"),
+    "domain.name_not_null": ("domain", "domain_name is null"),
+    "source.type_not_null": ("source", "source_type is null"),
+    "entity.name_not_null": ("entity", "name is null"),
+    "url.full_url_not_null": ("url", "full_url is null"),
+    "reference.relevance_range": ("reference", "relevance < 0 or relevance > 1"),
+    "url_queue.priority_range": ("url_queue", "priority_int < 0 or priority_int > 100"),
+    "url_queue.url_id_not_null": ("url_queue", "url_id is null"),
+    "entity_queue.priority_range": ("entity_queue", "priority_int < 0 or priority_int > 100"),
+    "entity_queue.name_not_null": ("entity_queue", "name is null"),
+}
+#: What no two rows may share, unless a part of it is null: rule -> (table, columns).
+UNIQUE_RULES = {
+    "domain.name_unique": ("domain", ["domain_name"]),
+    "source.domain_type_unique": ("source", ["domain_id", "source_type"]),
+    "entity.name_address_unique": ("entity", ["name", "address"]),
+    "url.full_url_unique": ("url", ["full_url"]),
+    "url_queue.url_id_unique": ("url_queue", ["url_id"]),
+    "entity_queue.name_unique": ("entity_queue", ["name"]),
+}
+
+
+def _report(rows: dict[str, DataFrame], whole: dict[str, DataFrame]) -> DataFrame:
+    """(rule, violations): row rules over ``rows``, unique rules over ``whole``, for the tables given."""
+    parts = []
+    for table, df in rows.items():
+        own = {r: c for r, (t, c) in ROW_RULES.items() if t == table}
+        if own:
+            counted = df.agg(*(F.coalesce(F.count_if(F.expr(c)), F.lit(0)).cast("long").alias(r) for r, c in own.items()))
+            parts.append(counted.select(F.inline(F.array(*(
+                F.struct(F.lit(r).alias("rule"), F.col(f"`{r}`").alias("violations")) for r in own)))))
+    for rule, (table, keys) in UNIQUE_RULES.items():
+        if table in whole:
+            parts.append(whole[table].dropna(subset=keys).groupBy(*keys).count().where("count > 1").agg(
+                F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("violations"))
+                .select(F.lit(rule).alias("rule"), "violations"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def constraint_report(state: GraphState) -> DataFrame:
     """H8: one row per rule with its violation count (a write fails if any > 0)."""
-    d, s, e, u, r, uq, eq = (state.domain, state.source, state.entity, state.url,
-                             state.reference, state.url_queue, state.entity_queue)
-
-    def dup(df, keys):
-        all_set = F.lit(True)
-        for k in keys:
-            all_set = all_set & F.col(k).isNotNull()
-        return (df.where(all_set).groupBy(*keys).count().where("count > 1")
-                .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n")))
-
-    def cnt(df, cond):
-        return df.agg(F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).cast("long").alias("n"))
-
-    rules = [
-        ("domain.quality_range", cnt(d, (F.col("quality_score") < -1) | (F.col("quality_score") > 1))),
-        ("domain.name_not_null", cnt(d, F.col("domain_name").isNull())),
-        ("domain.name_unique", dup(d, ["domain_name"])),
-        ("source.type_not_null", cnt(s, F.col("source_type").isNull())),
-        ("source.domain_type_unique", dup(s, ["domain_id", "source_type"])),
-        ("entity.name_not_null", cnt(e, F.col("name").isNull())),
-        ("entity.name_address_unique", dup(e, ["name", "address"])),
-        ("url.full_url_not_null", cnt(u, F.col("full_url").isNull())),
-        ("url.full_url_unique", dup(u, ["full_url"])),
-        ("reference.relevance_range", cnt(r, (F.col("relevance") < 0) | (F.col("relevance") > 1))),
-        ("url_queue.priority_range", cnt(uq, (F.col("priority_int") < 0) | (F.col("priority_int") > 100))),
-        ("url_queue.url_id_unique", dup(uq, ["url_id"])),
-        ("url_queue.url_id_not_null", cnt(uq, F.col("url_id").isNull())),
-        ("entity_queue.priority_range", cnt(eq, (F.col("priority_int") < 0) | (F.col("priority_int") > 100))),
-        ("entity_queue.name_unique", dup(eq, ["name"])),
-        ("entity_queue.name_not_null", cnt(eq, F.col("name").isNull())),
-    ]
-    out = None
-    for name, df in rules:
-        row = df.select(F.lit(name).alias("rule"), F.col("n").cast("long").alias("violations"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    return _report(state.tables(), state.tables())
+
+
+def change_report(state: GraphState, changed: dict[str, DataFrame]) -> DataFrame:
+    """H8 for a batch: the rules of the tables in ``changed`` over the rows that it wrote, and, for
+    unique columns, over the rows of ``state`` (which holds them) that share a value with those."""
+    def touched(table: str, df: DataFrame) -> DataFrame:
+        keys = {c for t, cols in UNIQUE_RULES.values() if t == table for c in cols}
+        own = [c for c in state.tables()[table].columns if c in keys]
+        return state.tables()[table].select(*own).join(df.select(*own).distinct(), own, "left_semi")
+
+    unique = {t for t, _ in UNIQUE_RULES.values()}
+    ruled = unique | {t for t, _ in ROW_RULES.values()}
+    changed = {t: df for t, df in changed.items() if t in ruled}
+    if not changed:
+        return state.domain.sparkSession.createDataFrame([], "rule string, violations long")
+    return _report(changed, {t: touched(t, df) for t, df in changed.items() if t in unique})
 
 
 class ConstraintError(ValueError):
     """A state that breaks its rules; the message names each rule and its count."""
 
 
-def check_constraints(state: GraphState) -> None:
-    """Raise if a rule is broken (one row a rule reaches the driver)."""
-    broken = constraint_report(state).where("violations > 0").collect()
+def raise_if_broken(report: DataFrame) -> None:
+    """One row a rule reaches the driver."""
+    broken = report.where("violations > 0").collect()
     if broken:
         raise ConstraintError(", ".join(f"{r['rule']}: {r['violations']}" for r in broken))
 
 
+def check_constraints(state: GraphState) -> None:
+    raise_if_broken(constraint_report(state))
+
+
 # ---------------------------------------------------------------- D8
 
 def cascade_delete(state: GraphState, domains: DataFrame | None = None,

@@ -6,8 +6,9 @@ discovered URLs  every page URL twice: seq = page_id with relevance
 fetched pages    every page; of repeated URLs the lowest page_id counts; status
                  0->404, 1->503, 2->no response, 3->403, 4->501, else 200 by page_id % 10
 parent priority  page_id % 101
-gazetteer        customers with even custkey (entity_id = custkey, address = nation)
-mentions         customer names with odd custkey plus part names
+gazetteer        all customers (entity_id = custkey, address = nation)
+mentions         all customer names, by custkey % 3 as they are, without the last
+                 character, or with two letters changed about, plus part names
 """
 
 from __future__ import annotations
@@ -58,8 +59,7 @@ def fetched_pages(spark: SparkSession, sf_dir: str, with_html: bool = True) -> D
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    return (c.where(F.col("c_custkey") % 2 == 0)
-            .join(n, c.c_nationkey == n.n_nationkey, "left")
+    return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
             .select(F.col("c_custkey").alias("entity_id"), F.col("c_name").alias("name"),
                     F.col("n_name").alias("address")))
 
@@ -67,5 +67,7 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer", "c_custkey", "c_name")
     p = table(spark, sf_dir, "part", "p_name")
-    return (c.where(F.col("c_custkey") % 2 == 1).select(F.col("c_name").alias("mention"))
-            .unionByName(p.select(F.col("p_name").alias("mention"))))
+    name, kind = F.col("c_name"), F.col("c_custkey") % 3
+    spelt = (F.when(kind == 0, name).when(kind == 1, F.substring(name, F.lit(1), F.length(name) - 1))
+             .otherwise(F.replace(name, F.lit("Customer"), F.lit("Custmoer"))))
+    return c.select(spelt.alias("mention")).unionByName(p.select(F.col("p_name").alias("mention")))

@@ -10,7 +10,9 @@ from ..functions import scoring, urls
 from ..operators import state as stt
 from ..operators.frontier import one_fetch
 from ..sources import search as srch
-from ..sources.seeds import seed_batch
+from ..session import scratch_root
+from ..sources.seeds import read_json_lines, seed_batch
+from ..sources.snapshots import read_saved_pages
 from . import inputs
 from .q_urls import AS_OF, _FRONTIER_SQL, validated
 from .registry import ROUND, register
@@ -28,9 +30,25 @@ def _r(c):
 @register("seed_scan", """
 SELECT event_id AS pos, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
 def q_seed_scan(spark, sf):
+    """The events' properties, landed as JSON Lines and read as seed records are."""
     ev = inputs.table(spark, sf, "events", "event_id", "props")
-    parsed = F.from_json("props", "k int", {"mode": "FAILFAST"})
-    return ev.select(F.col("event_id").alias("pos"), parsed["k"].alias("k"))
+    path = f"{scratch_root(spark, 'seed-scan')}/seeds"
+    line = F.concat(F.lit('{"pos": '), F.col("event_id").cast("string"), F.lit(', "item": '), F.col("props"), F.lit("}"))
+    ev.select(line.alias("value")).write.text(path)
+    return read_json_lines(spark, path, "pos long, item struct<k: int>").select("pos", F.col("item.k").alias("k"))
+
+
+# ------------------------------------------------------------------ A7
+
+@register("saved_pages", """
+SELECT url, md5(html) AS html_md5, length(html) AS n_chars FROM pages""")
+def q_saved_pages(spark, sf):
+    """Every page, landed as one JSON document a file and read back."""
+    p = inputs.table(spark, sf, "pages", "url", "html")
+    path = f"{scratch_root(spark, 'saved-pages')}/pages"
+    p.select(F.to_json(F.struct("url", "html"), {"pretty": "true"}).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return read_saved_pages(spark, path).select("url", F.md5(F.col("html").cast("binary")).alias("html_md5"),
+                                                F.length("html").cast("long").alias("n_chars"))
 
 
 # ------------------------------------------------------------------ A2, A3, B11
@@ -132,7 +150,7 @@ SELECT entity_id, name, address FROM old
 UNION ALL
 SELECT (SELECT max(entity_id) FROM old) + row_number() OVER (ORDER BY name, address), name, address FROM new""")
 def q_insert_if_absent(spark, sf):
-    old = inputs.gazetteer(spark, sf)
+    old = inputs.gazetteer(spark, sf).where(F.col("entity_id") % 2 == 0)       # what is there already
     batch = seeds(spark, sf).select("name", F.col("location").alias("address"))
     table, _ = stt.insert_if_absent(old, batch, ["name", "address"], "entity_id")
     return table
@@ -149,8 +167,12 @@ def _queue(spark, sf):
 def _batch(spark, sf):
     p = inputs.table(spark, sf, "pages", "page_id")
     pr = ((F.col("page_id") * 7) % 101).cast("double")
-    return p.select((F.col("page_id") * 2).alias("url_id"), pr.alias("priority"),
+    last = p.select((F.col("page_id") * 2).alias("url_id"), pr.alias("priority"),
                     scoring.priority_int(pr).alias("priority_int"), F.col("page_id").alias("seq"))
+    # each key has come before in the same batch, with another priority
+    other = ((F.col("page_id") * 3) % 101).cast("double")
+    return last.unionByName(p.select((F.col("page_id") * 2).alias("url_id"), other.alias("priority"),
+                                     scoring.priority_int(other).alias("priority_int"), (F.col("page_id") - 10**9).alias("seq")))
 
 
 _QB_SQL = f"""q0 AS (SELECT page_id AS url_id, CAST(page_id % 101 AS DOUBLE) AS priority FROM pages),
@@ -171,7 +193,7 @@ WITH {_QB_SQL}
 SELECT q0.url_id, coalesce(b0.priority, q0.priority) AS priority, {pint('coalesce(b0.priority, q0.priority)')} AS priority_int
 FROM q0 LEFT JOIN b0 USING (url_id)""")
 def q_queue_update(spark, sf):
-    return stt.queue_update(_queue(spark, sf), _batch(spark, sf).drop("seq"), "url_id")
+    return stt.queue_update(_queue(spark, sf), _batch(spark, sf), "url_id", "seq")
 
 
 @register("queue_remove", f"""

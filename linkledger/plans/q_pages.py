@@ -11,13 +11,12 @@ from ..operators import pages as pg
 from ..operators.html_profile import profile_pages
 from ..operators.mentions import PHRASE, spot_capitalised, spot_gazetteer
 from ..operators.resolve import exact_match, page_mentions, resolve_mentions
-from ..operators.similarity import fuzzy_best_match, nearest_match
+from ..operators.similarity import fuzzy_best_match, nearest_match, register_fuzzy_search
 from ..session import cut_lineage
 from . import inputs
 from .registry import ROUND, register
-from .sqltext import (d, derived_priority_expr, names_ctes, page_ctes, q, sim, trigrams, url_parts,
+from .sqltext import (d, derived_priority_expr, names_ctes, page_ctes, relevance_expr, sim, trigrams, url_parts,
                       vocab_ents_ctes)
-from ..functions.scoring import RELEVANCE_KEYWORDS
 
 
 def _r(c):
@@ -31,7 +30,8 @@ def profiled(spark, sf):
     Checkpointed (reliably) because several branches of a plan read it and the
     HTML parse is the one Python stage."""
     p = inputs.table(spark, sf, "pages", "page_id", "url", "html")
-    return cut_lineage(profile_pages(p, ["page_id", "url"]).withColumn("full_url", urls.normalize_url("url")))
+    prof = profile_pages(p, ["page_id", "url"]).withColumn("full_url", urls.normalize_url("url"))
+    return cut_lineage(prof.repartition("page_id"))      # profiles are spread, html is not
 
 
 def title_vocabulary(prof):
@@ -39,10 +39,12 @@ def title_vocabulary(prof):
 
 
 def title_entities(prof):
-    """Entity table for the page flows: titles of even page ids (lowest id per title)."""
-    return (prof.where((F.col("page_id") % 2 == 0) & F.col("title").isNotNull())
-            .groupBy(F.col("title").alias("name")).agg(F.min("page_id").alias("entity_id"))
-            .select("entity_id", "name", F.lit(None).cast("string").alias("address")))
+    """Entity table for the page flows: all titles, the lowest page id of each as its id; by that
+    id % 3 the name is the title, the title and more, or the title backwards."""
+    of = (prof.where(F.col("title").isNotNull()).groupBy("title").agg(F.min("page_id").alias("entity_id")))
+    kind = F.col("entity_id") % 3
+    name = F.when(kind == 0, F.col("title")).when(kind == 1, F.concat("title", F.lit(" x"))).otherwise(F.reverse("title"))
+    return of.select("entity_id", name.alias("name"), F.lit(None).cast("string").alias("address"))
 
 
 def page_names(spark, sf, prof=None):
@@ -83,22 +85,36 @@ def _link_sql(h: str) -> str:
 
 # ------------------------------------------------------------------ B18, C1
 
+#: A page of fewer than ten characters.
+TINY = "<html><body><p> a few </p><b> !</b></body></html>"
+
+
 @register("page_profile", f"""
 WITH {_PROF}
 SELECT page_id, has_body, text, CAST(text_concat_len AS INTEGER) AS text_concat_len, title,
-       len(headers) AS n_headers, len(hrefs) AS n_section_links FROM prof""")
+       len(headers) AS n_headers, list_sort(headers) AS header_texts, len(hrefs) AS n_section_links,
+       list_sort(hrefs) AS section_hrefs FROM prof""")
 def q_page_profile(spark, sf):
     prof = profiled(spark, sf)
     return prof.select("page_id", "has_body", "text", "text_concat_len", "title",
                        F.size("headers").alias("n_headers"),
-                       F.size(F.filter("links", lambda l: l["section"].isNotNull())).alias("n_section_links"))
+                       F.array_sort(F.transform("headers", lambda h: h["text"])).alias("header_texts"),
+                       F.size(F.filter("links", lambda l: l["section"].isNotNull())).alias("n_section_links"),
+                       F.array_sort(F.transform(F.filter("links", lambda l: l["section"].isNotNull()),
+                                                lambda l: l["href"])).alias("section_hrefs"))
 
 
 @register("meaningful_pages", f"""
-WITH {_PROF}
+WITH kinds AS (SELECT page_id, url, CASE page_id % 5 WHEN 0 THEN replace(html, '<body', '<section') WHEN 1 THEN '{TINY}' ELSE html END AS html
+               FROM pages),
+{page_ctes("kinds")}
 SELECT page_id FROM prof WHERE has_body AND text_concat_len >= 10""")
 def q_meaningful_pages(spark, sf):
-    return pg.meaningful(profiled(spark, sf)).select("page_id")
+    """All pages; every fifth has lost its body, and another fifth its text."""
+    kind = F.col("page_id") % 5
+    html = F.when(kind == 0, F.replace("html", F.lit("<body"), F.lit("<section"))).when(kind == 1, F.lit(TINY)).otherwise(F.col("html"))
+    p = inputs.table(spark, sf, "pages", "page_id", "html").withColumn("html", html)
+    return pg.meaningful(profile_pages(p, ["page_id"])).select("page_id")
 
 
 # ------------------------------------------------------------------ C3, B5, G1
@@ -176,9 +192,11 @@ def q_trigram_similarity(spark, sf):
 # ------------------------------------------------------------------ D1, D2, D3
 
 _CUST_SQL = """gz AS (SELECT c_custkey AS entity_id, c_name AS name, n_name AS address
-       FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 2 = 0),
-mall AS (SELECT DISTINCT mention FROM (SELECT c_name AS mention FROM customer WHERE c_custkey % 2 = 1
-                                       UNION ALL SELECT p_name FROM part))"""
+       FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
+mall AS (SELECT DISTINCT mention FROM (
+           SELECT CASE c_custkey % 3 WHEN 0 THEN c_name WHEN 1 THEN left(c_name, length(c_name) - 1)
+                  ELSE replace(c_name, 'Customer', 'Custmoer') END AS mention FROM customer
+           UNION ALL SELECT p_name FROM part))"""
 
 _FUZZY_SQL = f"""{_CUST_SQL},
 cand AS (SELECT m.mention, g.entity_id, g.name, g.address, {sim(trigrams('m.mention'), trigrams('g.name'))} AS c
@@ -211,36 +229,50 @@ def q_fuzzy_resolve(spark, sf):
     return out.select("mention", "entity_id", "matched_name", _r(F.col("confidence")).alias("confidence"))
 
 
+@register("fuzzy_search_sql", f"""
+WITH {_FUZZY_SQL}
+SELECT mention, entity_id, matched_name, round(confidence, 9) AS confidence,
+       round({sim(trigrams('mention'), trigrams('matched_name'))}, 9) AS pair_similarity FROM best""")
+def q_fuzzy_search_sql(spark, sf):
+    """The search as a user of SQL asks it, over a view, and its function on each pair found."""
+    inputs.mentions(spark, sf).createOrReplaceTempView("fuzzy_search_input")
+    register_fuzzy_search(spark, inputs.gazetteer(spark, sf))
+    return spark.sql("SELECT mention, entity_id, matched_name, round(confidence, 9) AS confidence, "
+                     "round(fuzzy_search_similarity(mention, matched_name), 9) AS pair_similarity FROM fuzzy_search_matches")
+
+
 _NEAREST_SQL = f"""best AS (SELECT mention, arg_max(entity_id, (c, -entity_id)) AS entity_id, arg_max(name, (c, -entity_id)) AS matched_name,
                 max(c) AS confidence FROM (SELECT m.mention, g.entity_id, g.name, {sim(trigrams('m.mention'), trigrams('g.name'))} AS c
-                                           FROM mall m, gz g) WHERE c >= {d(0.1)} GROUP BY mention)"""
+                                           FROM mall m, gz g) WHERE c > 0 GROUP BY mention)"""
 
 
 @register("nearest_match", f"""
 WITH {_CUST_SQL}, {_NEAREST_SQL}
-SELECT mention, entity_id, matched_name, round(confidence, 9) AS confidence FROM best""")
+SELECT mention, entity_id, matched_name, round(coalesce(confidence, 0), 9) AS confidence FROM mall LEFT JOIN best USING (mention)""")
 def q_nearest_match(spark, sf):
-    """The nearest entity of each mention, also below the threshold of acceptance; the
-    oracle asks for those from 0.1 on, the operator finds them all."""
-    out = nearest_match(inputs.mentions(spark, sf), inputs.gazetteer(spark, sf)).where("confidence >= 0.1")
+    """The nearest entity of each mention, also below the threshold of acceptance."""
+    out = nearest_match(inputs.mentions(spark, sf), inputs.gazetteer(spark, sf))
     return out.select("mention", "entity_id", "matched_name", _r(F.col("confidence")).alias("confidence"))
 
 
 @register("resolve_mentions", f"""
 WITH {_FUZZY_SQL},
+near AS (SELECT mention, arg_max(name, (c, -entity_id)) AS name FROM cand WHERE c > 0 GROUP BY mention),
 allm AS (SELECT DISTINCT mention FROM (SELECT mention FROM mall UNION ALL SELECT name FROM gz)),
 ex AS (SELECT a.mention, min(g.entity_id) AS entity_id FROM allm a JOIN gz g ON g.name = a.mention GROUP BY a.mention)
 SELECT a.mention, coalesce(ex.entity_id, b.entity_id) AS entity_id,
        CASE WHEN ex.entity_id IS NOT NULL THEN a.mention ELSE b.matched_name END AS matched_name,
        round(CASE WHEN ex.entity_id IS NOT NULL THEN {d(1)} ELSE b.confidence END, 9) AS confidence,
        CASE WHEN ex.entity_id IS NOT NULL THEN 'exact' WHEN b.entity_id IS NOT NULL THEN 'fuzzy' ELSE 'none' END AS method,
-       coalesce(ex.entity_id, b.entity_id) IS NOT NULL AS accepted
-FROM allm a LEFT JOIN ex USING (mention) LEFT JOIN best b ON b.mention = a.mention AND ex.entity_id IS NULL""")
+       coalesce(ex.entity_id, b.entity_id) IS NOT NULL AS accepted,
+       CASE WHEN coalesce(ex.entity_id, b.entity_id) IS NULL THEN n.name END AS nearest_name
+FROM allm a LEFT JOIN ex USING (mention) LEFT JOIN best b ON b.mention = a.mention AND ex.entity_id IS NULL
+LEFT JOIN near n ON n.mention = a.mention""")
 def q_resolve_mentions(spark, sf):
     m = inputs.mentions(spark, sf).unionByName(inputs.gazetteer(spark, sf).select(F.col("name").alias("mention")))
-    out = resolve_mentions(m, inputs.gazetteer(spark, sf))
+    out = resolve_mentions(m, inputs.gazetteer(spark, sf), nearest=True)
     return out.select("mention", "entity_id", "matched_name", _r(F.col("confidence")).alias("confidence"),
-                      "method", "accepted")
+                      "method", "accepted", "nearest_name")
 
 
 # ------------------------------------------------------------------ E7
@@ -254,23 +286,12 @@ def q_page_mentions(spark, sf):
 
 # ------------------------------------------------------------------ B10
 
-_KW = ", ".join(q(k) for k in RELEVANCE_KEYWORDS)
-
-
 @register("page_relevance", f"""
 WITH {_NAMES_SQL},
 pin AS (SELECT p.page_id, lower(p.text) AS lt, list_transform(p.headers, lambda h: lower(h)) AS lh,
                CAST(p.page_id % 101 AS INTEGER) AS parent, coalesce(pm.names, []) AS names
-        FROM prof p LEFT JOIN pm USING (page_id) WHERE p.has_body AND p.text_concat_len >= 10),
-sc AS (SELECT page_id,
-         CASE WHEN len(names) > 0 THEN len(list_filter(names, lambda r: len(list_filter(lh, lambda h: contains(h, lower(r)))) > 0)) / len(names)
-              ELSE {d(0)} END AS hs,
-         least(length(lt) / {d(3000)}, {d(1)}) AS ls,
-         least(len(list_filter([{_KW}], lambda k: contains(lt, k))) / {d(5)}, {d(1)}) AS ks,
-         parent / {d(100)} AS ps
-       FROM pin)
-SELECT page_id, round(least({d(1)}, greatest({d(0)}, {d(0.2)} * hs + {d(0.2)} * ls + {d(0.3)} * ks + {d(0.3)} * ps)), 9) AS relevance
-FROM sc""")
+        FROM prof p LEFT JOIN pm USING (page_id) WHERE p.has_body AND p.text_concat_len >= 10)
+SELECT page_id, round({relevance_expr('lt', 'lh', 'names', 'parent')}, 9) AS relevance FROM pin""")
 def q_page_relevance(spark, sf):
     prof = profiled(spark, sf)
     rel = pg.with_relevance(pg.meaningful(prof), page_inputs(spark, sf, prof), "page_id")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..operators import pages as pg
 from ..operators.rank import bipartite_authority, entity_popularity, pagerank
+from ..session import cut_lineage, scratch_root
+from ..sources.popularity import Popularity
 from .q_pages import _BASE_SQL, _PROF, _link_sql, profiled
 from .q_round import crawl_round, round_sql
 from .registry import ROUND, register
@@ -25,6 +27,22 @@ def q_entity_popularity(spark, sf):
     return entity_popularity(st.reference, st.url, st.source, st.domain)
 
 
+@register("popularity_kept_up", f"""
+WITH {round_sql()}
+SELECT r.entity_id, count(*) AS "references", count(DISTINCT r.url_id) AS distinct_urls,
+       count(DISTINCT {domain_expr('f.full_url')}) AS distinct_domains
+FROM refs r JOIN frontier f USING (url_id) GROUP BY r.entity_id""")
+def q_popularity_kept_up(spark, sf):
+    """The references of a round, added in three batches."""
+    st = crawl_round(spark, sf).state
+    refs = cut_lineage(st.reference)
+    url, source = cut_lineage(st.url), cut_lineage(st.source)
+    kept = Popularity(spark, scratch_root(spark, "popularity"))
+    for k in range(3):
+        kept.add(refs.where(F.pmod(F.xxhash64("entity_id", "url_id"), F.lit(3)) == k), url, source, k + 1)
+    return kept.totals()
+
+
 def _authority_sql() -> str:
     steps = []
     prev = "r0"

@@ -1,7 +1,7 @@
 """Registered queries over one full crawl round on the test data (SURVEY D6, D7,
 E5, E6, E8, F2, G4, H2, H9, I3): the discovered URLs of every page, the pages
 table as fetch results, all page titles as the mention vocabulary and the
-titles of even page ids as the entity table."""
+titles, with derived names, as the entity table."""
 
 from __future__ import annotations
 
@@ -9,10 +9,11 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
+from ..operators.frontier import entity_queue_head
 from ..operators.load import rejected_sources
 from ..operators.state import empty_state, queue_lengths
 from . import inputs
-from .q_ingest import responses, seeds
+from .q_ingest import _HITS_SQL, responses, seeds
 from .q_pages import profiled, title_entities, title_vocabulary
 from .q_urls import AS_OF, _FIRSTS_SQL
 from .registry import ROUND, register
@@ -32,10 +33,11 @@ def crawl_round(spark, sf):
                      gazetteer_extractor(title_vocabulary(prof)), AS_OF)
 
 
-@lru_cache(maxsize=1)
-def round_sql() -> str:
-    """CTE chain of the round, ending in pages_out, refs, rejq, derived, feedback."""
-    return f"""{events_ctes()}, {_FIRSTS_SQL},
+@lru_cache(maxsize=2)
+def round_sql(disc: str | None = None) -> str:
+    """CTE chain of the round over ``disc`` (all discovered URLs), ending in pages_out, refs, rejq,
+    derived, feedback."""
+    return f"""{events_ctes(disc)}, {_FIRSTS_SQL},
 frontier AS (SELECT row_number() OVER (ORDER BY first_seq) AS url_id, norm_url AS full_url,
                     {priority_expr('relevance', trust_expr('norm_url'))} AS priority,
                     {pint(priority_expr('relevance', trust_expr('norm_url')))} AS priority_int FROM firsts),
@@ -110,7 +112,16 @@ def q_frontier_round2(spark, sf):
             .unionByName(two.feedback.select(F.lit(2).alias("round"), "seq", "url", _r(F.col("relevance")).alias("relevance"))))
 
 
-@register("full_round")
+#: What the seeds' searches have found: distinct hits of each seed, numbered by seed and URL.
+_SEARCHED_SQL = f"""WITH {_HITS_SQL},
+found AS (SELECT DISTINCT pos, url, CASE WHEN pos % 2 = 0 THEN {d(1)} ELSE {d(0.99)} END AS relevance
+          FROM hits WHERE pos IN (SELECT c_custkey FROM customer))
+SELECT row_number() OVER (ORDER BY pos, url) AS seq, url, relevance FROM found"""
+
+
+@register("full_round", f"""
+WITH {round_sql(_SEARCHED_SQL)}
+SELECT entity_id, url_id, round(relevance, 9) AS relevance FROM refs""")
 def q_full_round(spark, sf):
     """From seeds to feedback: search queries and their landed responses, distinct hits
     of each seed, the discovered batch, and the round over it."""
@@ -157,9 +168,8 @@ WITH {round_sql()}
 SELECT name, round(priority, 9) AS priority, {pint('priority')} AS priority_int FROM rejq
 ORDER BY {pint('priority')} DESC, priority DESC, name LIMIT 5""")
 def q_entity_queue_head(spark, sf):
-    eq = crawl_round(spark, sf).state.entity_queue
-    return (eq.orderBy(F.col("priority_int").desc(), F.col("priority").desc(), F.col("name")).limit(5)
-            .select("name", _r(F.col("priority")).alias("priority"), "priority_int"))
+    head = entity_queue_head(crawl_round(spark, sf).state.entity_queue, 5)
+    return head.select("name", _r(F.col("priority")).alias("priority"), "priority_int")
 
 
 @register("state_summary", f"""

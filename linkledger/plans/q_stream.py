@@ -8,8 +8,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.state import empty_state
-from ..streaming.crawl_stream import round_stream, scratch_root, validate_stream
+from ..session import scratch_root
+from ..streaming.crawl_stream import round_stream, validate_stream
+from ..streaming.feeds import seed_stream
 from . import inputs
+from .q_ingest import _SEEDS_SQL, seeds
 from .q_pages import profiled, title_entities, title_vocabulary
 from .q_urls import AS_OF
 from .registry import ORACLES, ROUND, register
@@ -40,6 +43,35 @@ def q_stream_domain_state(spark, sf):
                             F.round("quality_score", ROUND).alias("quality_score"))
 
 
+@register("stream_late_events", ORACLES["domain_quality"])
+def q_stream_late_events(spark, sf):
+    """Slices in no order of their sequence: events that come late take their place, so visits and
+    quality are those of the batch."""
+    root = scratch_root(spark, "stream-late-events")
+    disc = inputs.discovered(spark, sf).select("seq", "url", "relevance")
+    st = None
+    for k in range(SLICES):
+        disc.where(F.pmod(F.xxhash64("seq"), F.lit(SLICES)) == SLICES - 1 - k).write.mode("append").parquet(f"{root}/landed")
+        st = validate_stream(spark, spark.readStream.schema(DISCOVERED).parquet(f"{root}/landed"), lambda batch: batch,
+                             f"{root}/state", f"{root}/checkpoint", AS_OF)
+    return st.domain.select(F.col("domain_name").alias("domain"), "visit_count",
+                            F.round("quality_score", ROUND).alias("quality_score"))
+
+
+@register("seed_stream", f"""
+WITH {_SEEDS_SQL}
+SELECT pos, name, location, true AS initial_search FROM seeds""")
+def q_seed_stream(spark, sf):
+    """Seed records that land in three lots, the stream started anew after each."""
+    root = scratch_root(spark, "seed-stream")
+    all_ = seeds(spark, sf).select("pos", "name", "location", F.lit(None).cast("string").alias("source_url"))
+    for k in range(SLICES):
+        all_.where(F.col("pos") % SLICES == k).write.mode("append").json(f"{root}/landed")
+        seed_stream(spark, f"{root}/landed", f"{root}/out", f"{root}/checkpoint", files_per_batch=1)
+    out = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/out")
+    return out.select("pos", "name", "location", "initial_search")
+
+
 @register("stream_round")
 def q_stream_round(spark, sf):
     """A whole round for each slice; the references of all of them."""

@@ -26,7 +26,7 @@ from ..operators import pages as pg
 from ..operators.html_profile import profile_pages
 from ..operators.mentions import spot_gazetteer
 from ..operators.resolve import page_mentions, resolve_mentions
-from ..operators.state import GraphState, assign_dense_ids, queue_remove, queue_update
+from ..operators.state import GraphState, assign_dense_ids, merged, queue_remove, queue_update
 from ..session import cut_lineage
 from ..sources import search as srch
 
@@ -66,23 +66,34 @@ class RoundOutput:
     references: DataFrame    # rows appended this round
     derived: DataFrame       # url_id, url, priority, is_homepage
     feedback: DataFrame      # seq, url, relevance (+ url_id, is_homepage): next round's discovered batch
+    changes: dict[str, DataFrame]    # rows of the state's tables that the round wrote, by table
+    gone: dict[str, DataFrame]       # keys of rows that it removed
+
+
+#: Fetches to parse that are told to the scan of the pages; of more, all pages are parsed.
+ASKED = 1 << 20
 
 
 def run_round(state: GraphState, discovered: DataFrame, fetched: DataFrame, extractor: Extractor,
-              as_of: str, fetch_order: str = "page_id") -> RoundOutput:
+              as_of: str, fetch_order: str = "page_id", quality: DataFrame | None = None) -> RoundOutput:
     """``fetched``: (full_url, status, html) and ``fetch_order``, which numbers the
     fetches: the first fetch of a URL counts. Pages are parsed where they are read;
-    joins and checkpoints carry their profiles, never the html."""
+    joins and checkpoints carry their profiles, never the html. Fetches that were parsed
+    already have the columns of ``profile_pages`` instead of html. ``quality``: see ``validate_changes``."""
     # validate
-    st, _ = fr.validate_batch(discovered, state, as_of)
+    changes, _ = fr.validate_changes(discovered, state, as_of, quality=quality)
+    st = merged(state, changes)
 
     # extract: the whole frontier, in drain order
     front = fr.frontier_rank(st.url_queue, st.url)
     routed = cut_lineage(fr.route_fetched(front, fetched.select("full_url", "status", fetch_order), fetch_order))
     parsed = routed.where(F.col("action") == "parse").select("url_id", "full_url", "priority_int", "drain_rank", fetch_order)
-    read = profile_pages(fetched.where(fr.status_action("status") == "parse").select(fetch_order, "html"), [fetch_order])
+    asked = fetched.where(fr.status_action("status") == "parse")
+    if parsed.count() <= ASKED:                       # a small round parses its own pages only
+        asked = asked.join(F.broadcast(parsed.select(fetch_order)), fetch_order, "left_semi")
+    read = profile_pages(asked, [fetch_order]) if "html" in fetched.columns else asked.drop("full_url", "status")
     # a fetch that landed twice has two equal profiles; the join has put them together
-    prof = cut_lineage(read.join(parsed, fetch_order).dropDuplicates([fetch_order]))
+    prof = cut_lineage(read.join(parsed, fetch_order).dropDuplicates([fetch_order]).repartition("url_id"))
     good = pg.meaningful(prof)
     demoted = routed.where(F.col("action") == "demote").select(
         "url_id", F.col("new_priority").alias("priority"), scoring.priority_int("new_priority").alias("priority_int"))
@@ -116,5 +127,8 @@ def run_round(state: GraphState, discovered: DataFrame, fetched: DataFrame, extr
 
     sequence_next = fb.agg((F.lit(start) + F.count(F.lit(1))).cast("long").alias("next_seq"))
     nxt = st.with_(url_queue=queue_next, reference=reference_next, entity_queue=entity_queue_next, sequence=sequence_next)
+    rejected = pages_out.select(F.explode("rejected").alias("name")).distinct()
+    changes |= {"url_queue": queue_next, "reference": refs, "sequence": sequence_next,
+                "entity_queue": entity_queue_next.join(rejected, "name", "left_semi")}
     return RoundOutput(state=nxt, routed=routed, pages=pages_out, references=refs,
-                       derived=derived, feedback=fb)
+                       derived=derived, feedback=fb, changes=changes, gone={"url_queue": gone})

@@ -61,9 +61,9 @@ UNION ALL
 SELECT page_id + {SECOND_SIGHTING_OFFSET} AS seq, url, CAST((page_id * 3) % 11 AS DOUBLE) / {d(2.5)} AS relevance FROM pages"""
 
 
-def events_ctes() -> str:
+def events_ctes(disc: str | None = None) -> str:
     """CTEs disc -> ev0 -> ev (seq, url, relevance, norm_url, domain)."""
-    return f"""disc AS ({discovered_cte()}),
+    return f"""disc AS ({disc or discovered_cte()}),
 ev0 AS ({url_parts('disc', 'url')}),
 ev AS (SELECT seq, url, relevance, {norm_expr()} AS norm_url, {domain_expr(norm_expr())} AS domain FROM ev0)"""
 
@@ -167,10 +167,11 @@ def sim(a: str, b: str) -> str:
 
 
 def vocab_ents_ctes(prof: str = "prof") -> str:
-    """Extractor vocabulary (all titles) and entity table (titles of even page ids)."""
+    """Extractor vocabulary (all titles) and entity table (of all titles, with derived names)."""
     return f"""vocab AS (SELECT DISTINCT title AS name, {tokens_joined('title')} AS tj FROM {prof}
           WHERE title IS NOT NULL AND {tokens_joined('title')} <> ''),
-ents AS (SELECT min(page_id) AS entity_id, title AS name FROM {prof} WHERE page_id % 2 = 0 AND title IS NOT NULL GROUP BY title)"""
+ents AS (SELECT min(page_id) AS entity_id, CASE min(page_id) % 3 WHEN 0 THEN title WHEN 1 THEN title || ' x' ELSE reverse(title) END AS name
+         FROM {prof} WHERE title IS NOT NULL GROUP BY title)"""
 
 
 def names_ctes(docs: str, t: str = "") -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +52,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
+
+def scratch_root(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint directory."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid4().hex}"

@@ -10,6 +10,8 @@ unreadable tracker counts as 0.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,10 +37,18 @@ def seed_batch(seeds: DataFrame, last_index: int, batch_size: int = 10) -> DataF
 
 
 def load_progress(spark: SparkSession, path: str) -> int:
+    """0 for a tracker that is missing or is no table with that column; storage errors are raised."""
     try:
         rows = spark.read.parquet(path).select("last_index").collect()
-    except Exception:  # noqa: BLE001  (missing or unreadable tracker -> start over)
-        return 0
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "UNRESOLVED_COLUMN.WITH_SUGGESTION",
+                                "UNRESOLVED_COLUMN.WITHOUT_SUGGESTION"):
+            return 0
+        raise
+    except (PySparkException, Py4JJavaError) as e:
+        if "FAILED_READ_FILE.CANNOT_READ_FILE_FOOTER" in str(e) or "is not a Parquet file" in str(e):
+            return 0
+        raise
     return int(rows[0]["last_index"]) if rows and rows[0]["last_index"] is not None else 0
 
 

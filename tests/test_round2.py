@@ -1,6 +1,7 @@
 """Page stage on bad input, rounds over repeated fetches, state rules, extraction without a gazetteer."""
 
 import random
+import re
 from urllib.parse import urljoin
 
 import pytest
@@ -197,3 +198,43 @@ def test_pagerank_with_dangling_nodes(spark):
     got = rank.pagerank(spark.createDataFrame([(n,) for n in nodes], "node string"),
                         spark.createDataFrame(edges, "src string, dst string"), iterations=7).collect()
     assert {x["node"]: x["rank"] for x in got} == pytest.approx(r)
+
+
+def test_a_run_of_any_length_is_one_name(spark):
+    import re as plain
+
+    from linkledger.operators.mentions import PHRASE
+    upper = plain.compile(PHRASE.replace(r"\p{Lu}", "[A-ZÀ-ÖØ-Þ]").replace(r"[\p{L}\p{N}'’&-]", r"(?:[^\W_]|['’&-])"))
+    texts = ["Chez Olivia de la Mer and Bob. New York of", "x" + "Ab Cd " * 3 + "\nEf of the Gh", "A\x01B C\x02 D E", "the Of de A & B", "",
+             "Éa Öb, Cd et Ef", "AB CD&E F'G H-I"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    got = {(r["k"], r["mention"]) for r in spot_capitalised(df, "k").collect()}
+    assert got == {(k, m[0]) for k, t in enumerate(texts) for m in upper.finditer(t) if len(m[0].split(" ")) >= 2}
+    long = " ".join(["Word"] * 100_000)
+    (r,) = spot_capitalised(spark.createDataFrame([(1, "a " + long + " b")], "k int, text string"), "k").collect()
+    assert r["mention"] == long
+
+
+def test_anchored_spotting_equals_a_search_in_the_tokens(spark, monkeypatch):
+    import random
+
+    from linkledger.operators import mentions as m
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(9)]
+    names = sorted({" ".join(rng.choice(words) for _ in range(rng.choice([1, 2, 2, 3, 4, 9]))) for _ in range(60)})
+    names += [None, "", " - ", "W1  w2", "w1-W2", "never met w1", "é ß"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 90))) for _ in range(40)] + [None, "", "w1", "É, ß!", "w0 " * 400]
+    want = set()
+    for k, t in enumerate(texts):
+        page = " " + " ".join(w for w in re.split(r"[^\w]+", (t or "").lower()) if w) + " "
+        for n in names:
+            toks = " ".join(w for w in re.split(r"[^\w]+", (n or "").lower()) if w)
+            if toks and f" {toks} " in page:
+                want.add((k, n))
+    docs = spark.createDataFrame(list(enumerate(texts)), "k int, text string").repartition(3)
+    vocab = spark.createDataFrame([(n,) for n in names], "name string")
+    for span, held in ((512, m.BROADCAST_BYTES), (7, -1)):
+        monkeypatch.setattr(m, "SPAN", span)
+        monkeypatch.setattr(m, "BROADCAST_BYTES", held)
+        assert {(r["k"], r["mention"]) for r in spot_gazetteer(docs, vocab, "k").collect()} == want
+    assert spot_gazetteer(docs, vocab.limit(0), "k").count() == 0

@@ -10,6 +10,7 @@ from linkledger.operators.frontier import validate_batch
 from linkledger.operators.state import empty_state
 from linkledger.sources import search as srch
 from linkledger.sources.seeds import load_progress, next_seed_batch, read_json_array, save_progress
+from linkledger.sources.changes import ChangeLog
 from linkledger.sources.snapshots import latest_version, read_saved_pages, read_state, write_state
 from linkledger.streaming.crawl_stream import validate_stream
 
@@ -90,7 +91,7 @@ def test_stream_equals_batch_across_micro_batches(spark, tmp_path):
               .option("recursiveFileLookup", "true").parquet(str(src)))
     st = validate_stream(spark, stream, lambda b: b, str(tmp_path / "state"), str(tmp_path / "ckpt"),
                          "2024-01-01 00:00:00")
-    assert latest_version(spark, str(tmp_path / "state")) == 2
+    assert ChangeLog(spark, str(tmp_path / "state")).version() == 2
     batch, _ = validate_batch(df, empty_state(spark), "2024-01-01 00:00:00")
     got = {r["domain_name"]: (r["visit_count"], round(r["quality_score"], 9)) for r in st.domain.collect()}
     exp = {r["domain_name"]: (r["visit_count"], round(r["quality_score"], 9)) for r in batch.domain.collect()}
