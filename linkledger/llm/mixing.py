@@ -20,20 +20,22 @@ the one that ends nearest. Ranks inside a (source, size) group come from one ran
 so a group of any size is spread over many tasks.
 
 Defined results: null text has size 0 and is taken with 0 words; the null source
-is a source of its own, last in order; rows that repeat count each; a null id is
-ranked like any other; an empty table gives an empty result. Other columns are
-not read.
+is a source of its own, last in order; rows that repeat count each, as do rows that
+share an id; a null id is ranked like any other; an empty table gives an empty result;
+a source that does not reach its target within the rounds raises. Other columns are not
+read.
 """
 
 from __future__ import annotations
 
 import math
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.state import assign_dense_ids
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir
 from .common import whole_text
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,9 +43,10 @@ EXACT = "decimal(38,6)"
 PHASES = 64
 
 
-def _source_key(col: str):
+def _source_key(col: str | Column) -> Column:
     """Never null, and ordered as the sources are by code point with null last."""
-    return F.when(F.col(col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(col)))
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(c.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), c))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_repeat: int = 3) -> DataFrame:
@@ -104,14 +107,26 @@ def balance(hist: DataFrame, targets: DataFrame, max_repeat: int = 3, tolerance:
             F.col("_l").alias("_lo"), F.col("_h").alias("_hi"), stop.alias("_done")))
         if state.where("not _done").isEmpty():
             break
+    else:
+        raise ArithmeticError(f"{state.where('not _done').count()} sources are not balanced after {max_rounds} rounds")
     return state.select("_src", F.when(F.col("_full"), F.lit(math.inf)).otherwise(F.col("_lam")).alias("_lam"), "_scale")
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple[float, ...] = (5, 2, 1), max_repeat: int = 3) -> DataFrame:
     """Per row: id, size, source_size, target, copies, taken."""
-    size = F.regexp_count(whole_text(text_col), F.lit(WORD)).cast("long")
-    rows = cut_lineage(docs.select(F.col(id_col).alias("_id"), _source_key(source_col).alias("_src"), size.alias("size")))
+    rows = docs.select(F.col(id_col).alias("_id"), _source_key(source_col).alias("_src"), _words(text_col).alias("size"))
+    return _mixed(rows, weights, max_repeat).select(
+        F.col("_id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _words(text_col: str | Column) -> Column:
+    return F.regexp_count(whole_text(text_col), F.lit(WORD)).cast("long")
+
+
+def _mixed(rows: DataFrame, weights: tuple[float, ...], max_repeat: int, more: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` (_id, _src, size and ``more``, which orders rows of one id) with source_size, target, copies."""
+    rows = cut_lineage(rows)
     hist = cut_lineage(rows.groupBy("_src", "size").agg(F.count(F.lit(1)).alias("n")))
     targets = cut_lineage(source_targets(
         hist.groupBy("_src").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, max_repeat))
@@ -135,15 +150,29 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     phases = ends.join(targets, "_src").groupBy("_src").agg(
         F.min_by(phase, F.struct(F.abs(F.col("_ends") - F.col("target")), F.col("_p"))).alias("_phase"))
 
-    ranked = assign_dense_ids(rows, ["_src", "size", F.xxhash64("_id"), "_id"], "_pos", 0)
+    ranked = assign_dense_ids(rows, ["_src", "size", F.xxhash64("_id"), "_id", *more], "_pos", 0)
     first = ranked.groupBy("_src", "size").agg(F.min("_pos").alias("_first"))
     groups = first.join(plan, ["_src", "size"], "left").join(targets.join(phases, "_src", "left"), "_src")
     k = F.col("_pos") - F.col("_first")
     copies = F.coalesce(F.least(F.lit(max_repeat), passed(k + 1, F.col("_phase")) - passed(k, F.col("_phase"))),
                         F.lit(0)).cast("long")
-    return (ranked.join(groups, ["_src", "size"]).withColumn("copies", copies)
-            .select(F.col("_id").alias(id_col), "size", "source_size", "target", "copies",
-                    (F.col("copies") * F.col("size")).alias("taken")))
+    return ranked.join(groups, ["_src", "size"]).withColumn("copies", copies).select(
+        "_id", *more, "size", "source_size", "target", "copies")
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               weights: tuple[float, ...] = (5, 2, 1), max_repeat: int = 3) -> DataFrame:
+    """The rows of ``docs``, with all their columns, each as often as the mix takes it. Rows are told
+    apart by a number that one written scan gives them, so null and shared ids are rows like others."""
+    folder = f"{ensure_checkpoint_dir(docs.sparkSession).rstrip('/')}/mixing-{uuid4().hex}"
+    whole = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"))
+    whole.write.option("compression", "zstd").parquet(folder)
+    held = docs.sparkSession.read.parquet(folder)
+    text, source, key = (F.col("_doc").getField(c) for c in (text_col, source_col, id_col))
+    rows = held.select(key.alias("_id"), _source_key(source).alias("_src"), _words(text).alias("size"), "_row")
+    taken = _mixed(rows, weights, max_repeat, ("_row",)).where("copies > 0").select(F.col("_row").alias("_at"), "copies")
+    return (held.join(taken, F.col("_row") == F.col("_at"))
+            .select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).select("_doc.*"))
 
 
 def take_copies(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -1,8 +1,12 @@
+import math
+import random
 import re
 
 import pytest
 
-from linkledger.llm.mixing import mix_sources, source_targets, take_copies
+from pyspark.sql import functions as F
+
+from linkledger.llm.mixing import balance, mix_sources, mixed_rows, source_targets
 
 from .cases import DOCS, no_docs, odd_docs, odd_rows, prose
 
@@ -70,19 +74,44 @@ def test_taken_words_come_near_the_targets_and_reruns_agree(spark):
         assert abs(taken[s] - target[s]) <= max(5, 0.01 * target[s])
 
 
-def test_copies_are_taken(spark):
-    docs = odd_docs(spark)
-    mix = mix_sources(docs)
-    copies = {}
-    for r in mix.collect():
-        copies[r["doc_id"]] = max(copies.get(r["doc_id"], 0), r["copies"])
-    got = take_copies(docs, mix)
-    assert got.columns == docs.columns
-    counts = {}
-    for r in got.collect():
-        counts[r["doc_id"]] = counts.get(r["doc_id"], 0) + 1
-    rows = [r[0] for r in odd_rows()]
-    assert counts == {k: n * rows.count(k) for k, n in copies.items() if n and k is not None}
+def test_rows_are_taken_whatever_their_ids(spark):
+    """Null ids and ids that rows of different sizes share are told apart."""
+    docs = many(spark).unionByName(odd_docs(spark, clash=False)).where("text is null or length(text) < 5000")
+    odd = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, None).when(F.col("doc_id") % 3 == 1, 7).otherwise(F.col("doc_id"))
+                          ).withColumn("_row", F.lit(1)).withColumn("copies", F.lit("own"))
+    got = mixed_rows(odd)
+    assert got.columns == odd.columns
+    size = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    taken = {r["source"]: r["n"] for r in got.groupBy("source").agg(F.sum(size).alias("n")).collect()}
+    target = levels({r["source"]: r["n"] for r in odd.groupBy("source").agg(F.sum(size).alias("n")).collect()})
+    assert None in {r["doc_id"] for r in got.collect()}
+    for s, t in target.items():
+        assert abs(taken.get(s, 0) - t) <= max(100, 0.02 * t), s
+    often = got.groupBy("text", "source").count().join(odd.groupBy("text", "source").agg(F.count(F.lit(1)).alias("n")), ["text", "source"])
+    assert often.where("count > 3 * n").isEmpty()
+
+
+def plain_rates(sizes, target, most):
+    """Bisection on the dual, one source."""
+    scale = sum(s * s for s in sizes) / sum(sizes)
+    lo, hi = -1e4, 1e4
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        total = sum(s * min(most, math.exp(min(700, mid * s / scale))) for s in sizes)
+        lo, hi = (mid, hi) if total < target else (lo, mid)
+    return lo
+
+
+def test_the_dual_by_bisection(spark):
+    rng = random.Random(2)
+    sizes = {f"s{k}": [rng.randint(1, 90) for _ in range(rng.randint(2, 40))] for k in range(6)}
+    target = {s: sum(x) * rng.choice([0.2, 0.7, 1.0, 1.9, 2.7]) for s, x in sizes.items()}
+    hist = spark.createDataFrame([(s, n, x.count(n)) for s, x in sizes.items() for n in set(x)], "_src string, size long, n long")
+    targets = spark.createDataFrame([(s, sum(x), target[s]) for s, x in sizes.items()], "_src string, source_size long, target double")
+    for r in balance(hist, targets, 3).collect():
+        assert r["_lam"] == pytest.approx(plain_rates(sizes[r["_src"]], target[r["_src"]], 3), abs=1e-4)
+    with pytest.raises(ArithmeticError):
+        balance(hist, targets, 3, max_rounds=1)
 
 
 def test_no_rows_and_no_words(spark):
