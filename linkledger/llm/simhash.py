@@ -108,10 +108,16 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+#: Ids to drop that are broadcast at most; more are joined.
+BROADCAST_IDS = 1 << 20
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                 max_bits: int = 2) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose id is the smallest of their
     component. Rows with a null id are no one's copy and stay."""
     groups = simhash_components(docs, id_col, text_col, shingle, max_bits)
-    copies = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_copy")).distinct()
+    copies = cut_lineage(groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_copy")).distinct())
+    # whole texts are shuffled only where the ids of what goes are too many
+    copies = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
     return docs.join(copies, F.col(id_col) == F.col("_copy"), "left_anti")
