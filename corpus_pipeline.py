@@ -4,7 +4,7 @@ one before it kept.
 Stages pass on the columns of ``documents``; the last gives the packed pieces. Between
 stages the rows are written as Parquet to the shared folder that the session names
 in spark.checkpoint.dir, and read again. An empty table goes through all of them;
-rows with a null id are filtered like others up to mixing, which takes rows by id.
+rows with null or shared ids are filtered, mixed and packed like others.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linkledger.llm.common import read
 from linkledger.llm.exact_dedup import drop_copies
-from linkledger.llm.mixing import mix_sources, take_copies
+from linkledger.llm.mixing import mixed_rows
 from linkledger.llm.packing import pack
 from linkledger.llm.simhash import one_of_each
 from linkledger.llm.toxicity import drop_toxic
@@ -39,7 +39,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return take_copies(docs, mix_sources(docs, weights=(5, 2, 1), max_repeat=3))
+    return mixed_rows(docs, weights=(5, 2, 1), max_repeat=3)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
