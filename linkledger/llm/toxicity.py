@@ -1,28 +1,35 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two character models of words, one of toxic and one of ordinary labelled
-documents, are compared by their log-likelihoods of a text, per character. Each
-backs off from five characters down to three through continuation counts of its
-own class, and from there to one model that both share: a Kneser-Ney model of the
-full order over the words of every document of the corpus, labelled or not. An
-expression that one class has not shown so costs it what the whole corpus says of
-it, inflected forms of a known stem are met through the stem, and a letter that
-neither class knows decides nothing.
-
-What is gathered: one pass counts the n-grams of blocks of documents, and packs the
-words of each block. Counts are summed by n-gram; n-grams are scored in tables
-that are joined by n-gram, and each block meets the ratios of its own n-grams, so
-nothing that grows with the corpus is held by the driver or by a worker. Class counts come from at most
-``max_labelled`` labelled rows (those first in a hash order), the only bound.
-
-The mean log-likelihood ratio becomes a probability by logistic regression on the
-labelled rows. Those are dealt into two halves, and each half is scored by the
-models of the other.
-
-Ratios of n-grams are rounded to 2^-24, so sums do not depend on their order. Scores
-go back to rows by the 128-bit hash of their text.
-
-Defined results: null or wordless text has ratio 0; labels repeated for an id
+Models of toxic and of ordinary labelled documents are compared by their
+log-likelihoods at two lengths, each normalised by it:
+
+  whole text    character models of words. Each backs off from five characters down to
+                three through continuation counts of its own class, and from there to
+                one model that both share, of the full order, over the words of every
+                document of the corpus, labelled or not. Inflected forms of a known
+                stem are met through the stem.
+  expression    a word. Its count is the Kneser-Ney one, of distinct documents that
+                show it; a class takes ``EXPRESSION`` off it and backs off to the
+                counts that all documents of the corpus give. The best expression
+                speaks for the text, so a few insults count in a long one; one that the
+                toxic class has not shown so often, or the ordinary one more, has ratio 0.
+
+What is gathered: one pass counts the n-grams of blocks of documents, and packs the words of
+each block. Counts are summed; n-grams are scored in tables that are joined by n-gram, and
+each block meets the ratios of its own, so nothing that grows with the corpus is held by
+the driver or by a worker. Of words, those that the labelled rows show often enough are
+counted over all blocks. Class counts come from at most ``max_labelled`` labelled rows (those
+first in a hash order), the only bound.
+
+The labelled rows are dealt into two halves with models of their own. The two ratios
+become a probability by logistic regression on the labelled rows, each scored by the
+models of the other half; all rows are scored by both, and the two results are
+averaged as log-odds.
+
+Ratios are rounded to 2^-24, so sums do not depend on their order. Blocks carry the ids, so
+scores need no join to get back to rows.
+
+Defined results: null or wordless text has ratios 0; labels repeated for an id
 count as toxic if one does; null labels and null ids of labels are ignored; with
 no toxic labels every score is 0.0, with no ordinary ones 1.0; rows that repeat
 score alike; an empty table gives an empty result. Nothing but the text enters a
@@ -34,19 +41,25 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import partial
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from .common import hash_fold, whole_text
 
 ORDER, SHARED = 5, 2
 DISCOUNT = 0.75
+#: What a class takes off the number of its documents that show a word.
+EXPRESSION = 3.0
 #: Characters at ratio 0 that each text has besides its own, so that a word or two decide little.
 PRIOR = 30
 MAX_LABELLED = 20_000
@@ -68,11 +81,15 @@ def _words(text: str) -> list[str]:
 #: (half, label), in the order of the counts n00, n01, n10, n11.
 CLASSES = [(half, label) for half in (0, 1) for label in (0, 1)]
 COUNTS = [f"n{half}{label}" for half, label in CLASSES]
-_DOC = [("key", pa.string()), ("chars", pa.int64()), ("half", pa.int32()), ("label", pa.int32())]
-_BLOCK_FIELDS = [("block", pa.int64()), ("gram", pa.string()), ("n", pa.int64()), *((c, pa.int64()) for c in COUNTS),
-                 ("words", pa.binary()), ("places", pa.binary()), ("docs", pa.list_(pa.struct(_DOC)))]
-BLOCKS = ("block long, gram string, n long, " + "".join(f"{c} long, " for c in COUNTS) +
-          "words binary, places binary, docs array<struct<key:string,chars:long,half:int,label:int>>")
+#: Ahead of a word, in the column of n-grams.
+WHOLE = "\x01"
+#: Words of the labelled sample that are broadcast at most; more are shuffled with the blocks' words.
+BROADCAST_WORDS = 1 << 20
+
+
+def _block_type(id_type: str) -> str:
+    return ("block long, gram string, n long, " + "".join(f"{c} long, " for c in COUNTS) +
+            f"words binary, places binary, docs array<struct<id:{id_type},key:binary,chars:long,half:int,label:int>>")
 
 
 def _pressed(raw: bytes) -> bytes:
@@ -107,8 +124,8 @@ def _gram_table(vocabulary: list[str]) -> tuple[dict[str, int], np.ndarray, np.n
     return numbers, at, sizes
 
 
-def _block(number: int, vocabulary: dict[str, int], found: list[np.ndarray], docs: list[dict]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema(_BLOCK_FIELDS)
+def _block(number: int, vocabulary: dict[str, int], found: list[np.ndarray], docs: list[dict], schema: pa.Schema
+           ) -> Iterator[pa.RecordBatch]:
     words = np.concatenate(found)
     doc = np.repeat(np.arange(len(found)), [len(f) for f in found])
     v = len(vocabulary)
@@ -122,15 +139,13 @@ def _block(number: int, vocabulary: dict[str, int], found: list[np.ndarray], doc
     kind = np.array([-1 if d["label"] is None else 2 * d["half"] + d["label"] for d in docs])[doc]
     per_word = [np.bincount(words, minlength=v), *(np.bincount(words[kind == k], minlength=v) for k in range(len(CLASSES)))]
     numbers, at, sizes = _gram_table(list(vocabulary))
-    counts = [np.zeros(len(numbers), np.int64) for _ in per_word]
-    for total, n in zip(counts, per_word):
-        np.add.at(total, at, np.repeat(n, sizes))
+    counts = [np.bincount(at, np.repeat(n, sizes), len(numbers)).astype(np.int64) for n in per_word]
     rest = [pa.nulls(len(numbers), schema.field(c).type) for c in ("words", "places", "docs")]
     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(numbers), number)), pa.array(list(numbers)),
                                       *map(pa.array, counts), *rest], schema=schema)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
 
     def fresh() -> tuple:
@@ -141,21 +156,21 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     vocabulary, found, docs = fresh()
     held = 0
     for b in batches:
-        for text, key, half, label in zip(*(b.column(k).to_pylist() for k in range(4))):
+        for text, id_, key, half, label in zip(*(b.column(k).to_pylist() for k in range(5))):
             words = _words(text)
-            found.append(np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)))
-            docs.append({"key": key, "chars": sum(map(len, words)) + len(words), "half": half, "label": label})
+            found.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))
+            docs.append({"id": id_, "key": key, "chars": sum(map(len, words)) + len(words), "half": half, "label": label})
             held += len(words) + 1
             if held >= BLOCK_WORDS or len(vocabulary) >= REMEMBERED:
-                yield from _block(number, vocabulary, found, docs)
+                yield from _block(number, vocabulary, found, docs, schema)
                 vocabulary, found, docs = fresh()
                 number, held = number + 1, 0
     if docs:
-        yield from _block(number, vocabulary, found, docs)
+        yield from _block(number, vocabulary, found, docs, schema)
 
 
 def _text_key(text: Column) -> Column:
-    return F.md5(text.cast("binary"))
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -172,8 +187,14 @@ def blocks(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> Dat
     # the right side has at most max_labelled rows of three numbers
     src = (docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text"))
            .join(F.broadcast(known), F.col("_id") == F.col("_lid"), "left")
-           .select("_text", _text_key(F.col("_text")).alias("_key"), "_half", "_label"))
-    return _kept(src.mapInArrow(_blocks, BLOCKS))
+           .select("_text", "_id", _text_key(F.col("_text")).alias("_key"), "_half", "_label"))
+    kind = _block_type(src.schema["_id"].dataType.simpleString())
+    schema = to_arrow_schema(_parsed(src, kind))
+    return _kept(src.mapInArrow(partial(_blocks, schema=schema), kind))
+
+
+def _parsed(df: DataFrame, fields: str) -> StructType:
+    return df.sparkSession.createDataFrame([], fields).schema
 
 
 def gram_counts(held: DataFrame) -> DataFrame:
@@ -181,6 +202,58 @@ def gram_counts(held: DataFrame) -> DataFrame:
     return held.where("gram is not null").groupBy("gram").agg(*(F.sum(c).alias(c) for c in ["n", *COUNTS]))
 
 
+def _shown(vocabulary: str, places: bytes) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The words of a block, and what each document shows of them: (document, word), once each."""
+    words = vocabulary.split()
+    raw = _unpress(places)
+    doc, word = np.divmod(np.cumsum(raw[:len(raw) // 2]), max(len(words), 1))
+    return words, doc, word
+
+
+def _class_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, n00 .. n11): documents of each class that show a word, by block; without a word, how
+    many words all documents of the block show, in the first count."""
+    for b in batches:
+        for vocabulary, places, docs in zip(*(b.column(c).to_pylist() for c in ("words", "places", "docs"))):
+            words, doc, word = _shown(_unpressed(vocabulary).decode(), places)
+            kind = np.array([-1 if d["label"] is None else 2 * d["half"] + d["label"] for d in docs])[doc]
+            counts = np.stack([np.bincount(word[kind == k], minlength=len(words)) for k in range(len(CLASSES))])
+            seen = np.flatnonzero(counts.any(axis=0))
+            total = [[len(word)], [0], [0], [0]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([WHOLE, *(WHOLE + words[k] for k in seen)]),
+                 *(pa.array(np.append(t, c[seen]).astype(np.int64)) for t, c in zip(total, counts))], names=["gram", *COUNTS])
+
+
+def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, gram, n): the words of each block and how many of its documents show them."""
+    for b in batches:
+        for number, vocabulary, places in zip(*(b.column(c).to_pylist() for c in ("block", "words", "places"))):
+            words, _, word = _shown(_unpressed(vocabulary).decode(), places)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(words), number)), pa.array([WHOLE + w for w in words], pa.string()),
+                 pa.array(np.bincount(word, minlength=len(words)).astype(np.int64))], names=["block", "gram", "n"])
+
+
+def expressions(held: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Words that more than ``EXPRESSION`` toxic documents of a half of the labelled rows show:
+    where they are (block, gram, n), their counts (gram, n, n00 .. n11) over all documents, and
+    the totals of all words: n, and d_<count>, what is taken off each class."""
+    packed = held.where("gram is null").select("block", "words", "places", "docs")
+    classes = cut_lineage(packed.mapInArrow(_class_words, "gram string, " + ", ".join(f"{c} long" for c in COUNTS))
+                          .groupBy("gram").agg(*(F.sum(c).alias(c) for c in COUNTS)))
+    word = F.col("gram") != WHOLE
+    totals = classes.agg(F.max(F.when(~word, F.col(COUNTS[0]))).alias("n"), *(
+        F.sum(F.when(word, F.least(F.col(c), F.lit(EXPRESSION)))).alias(f"d_{c}") for c in COUNTS)).first().asDict()
+    told = cut_lineage(classes.where(word & (F.greatest("n01", "n11") > EXPRESSION)))
+    # as many at most as the labelled sample holds
+    asked = F.broadcast(told) if told.count() <= BROADCAST_WORDS else told
+    places = _kept(packed.select("block", "words", "places").mapInArrow(_block_words, "block long, gram string, n long")
+                   .join(asked.select("gram"), "gram", "left_semi").select("block", "gram", "n"))
+    counts = places.groupBy("gram").agg(F.sum("n").alias("n")).join(told, "gram")
+    return places, cut_lineage(counts), totals
+
+
 def labelled_sample(labels: DataFrame, id_col: str, label_col: str, folds: int, max_labelled: int) -> DataFrame:
     """(_lid, _half, _label) outside the held-out fold."""
     train = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (hash_fold(id_col, folds) != 0))
@@ -240,8 +313,8 @@ class KneserNey:
         return p + share * (self.letter.get(gram[-1], 0.0) + self.floor)
 
 
-#: The models: a half's is fitted on that half of the labelled rows.
-MODELS = {"all": (0, 1), "h0": (0,), "h1": (1,)}
+#: The models: each is fitted on one half of the labelled rows.
+MODELS = {"h0": (0,), "h1": (1,)}
 _SIDES = [f"{m}_{label}" for m in MODELS for label in (0, 1)]
 
 
@@ -264,7 +337,7 @@ def _back(side: str) -> Column:
 
 
 def gram_ratios(counts: DataFrame) -> DataFrame:
-    """(gram, all, h0, h1): log-likelihood ratio, toxic to ordinary, of each n-gram by each of
+    """(gram, h0, h1): log-likelihood ratio, toxic to ordinary, of each n-gram by each of
     the ``MODELS``, in ``UNIT``."""
     top = counts.select("gram", "n", *(
         sum((F.col(f"n{half}{label}") for half in halves), F.lit(0)).alias(f"{m}_{label}")
@@ -296,55 +369,82 @@ def gram_ratios(counts: DataFrame) -> DataFrame:
         F.round(F.log(p(f"{m}_1") / p(f"{m}_0")) / F.lit(UNIT)).cast("int").alias(m) for m in MODELS))
 
 
-def _add_up(block: pa.Table, ratios: pa.Table) -> pa.Table:
-    """The documents of one block: (key, half, label, all, h0, h1), ratios a character."""
+def word_ratios(words: DataFrame, totals: dict[str, int]) -> DataFrame:
+    """(gram, h0, h1) of the words: log-likelihood ratio of each against what is left to the shared
+    counts, so that it is 0 for one that neither class has shown often enough; and where it
+    speaks for the ordinary class."""
+    def gain(half: int, label: int) -> Column:
+        c = f"n{half}{label}"
+        # (count - EXPRESSION) / all counts of the class, over its share left * n / all counts of the corpus
+        scale = float(totals["n"] or 0) / float(totals[f"d_{c}"] or 1)
+        return F.log1p(F.greatest(F.col(c) - F.lit(EXPRESSION), F.lit(0.0)) * F.lit(scale) / F.col("n"))
+    return words.select("gram", *(F.round(F.greatest(gain(h, 1) - gain(h, 0), F.lit(0.0)) / F.lit(UNIT)).cast("int").alias(f"h{h}") for h in (0, 1)))
+
+
+#: What is told of a text by each model: the mean ratio of its characters, the best of its words.
+FEATURES = [f"{x}_{m}" for m in MODELS for x in ("mean", "best")]
+
+
+def _add_up(block: pa.Table, ratios: pa.Table, schema: pa.Schema) -> pa.Table:
+    """The documents of one block with their ``FEATURES``."""
     docs = block.column("docs").to_pylist()[0]
     vocabulary = _unpressed(block.column("words")[0].as_py()).decode().split()
     places = _unpress(block.column("places")[0].as_py())
     pairs, times = np.cumsum(places[:len(places) // 2]), places[len(places) // 2:]
     numbers, at, sizes = _gram_table(vocabulary)
-    rows = np.fromiter(map(numbers.__getitem__, ratios.column("gram").to_pylist()), np.int64, ratios.num_rows)
     word_at = np.repeat(np.arange(len(vocabulary)), sizes)
+    known = pa.array([*numbers, *(WHOLE + w for w in vocabulary)], pa.string())
+    rows = pc.index_in(ratios.column("gram"), value_set=known).to_numpy()
     size = np.array([d["chars"] for d in docs]) + PRIOR
     out = []
     for m in MODELS:
-        gram, word, total = (np.zeros(k, np.int64) for k in (len(numbers), len(vocabulary), len(docs)))
-        gram[rows] = ratios.column(m).to_numpy()
-        np.add.at(word, word_at, gram[at])
+        value = np.zeros(len(known), np.int64)
+        value[rows] = ratios.column(m).to_numpy()
+        gram, own = np.split(value, [len(numbers)])
+        total, best = np.zeros(len(docs), np.int64), np.zeros(len(docs), np.int64)
         if vocabulary:
-            np.add.at(total, pairs // len(vocabulary), word[pairs % len(vocabulary)] * times)
-        out.append(total * UNIT / size)
-    return pa.table([pa.array([d["key"] for d in docs]), pa.array([d["half"] for d in docs], pa.int32()),
-                     pa.array([d["label"] for d in docs], pa.int32()), *map(pa.array, out)],
-                    names=["key", "half", "label", *MODELS])
-
-
-def text_ratios(held: DataFrame, ratios: DataFrame) -> DataFrame:
-    """(key, half, label, all, h0, h1) of each document: mean over the characters of the words,
-    a word's end counted as one, and the prior's."""
-    grams = held.where("gram is not null").select(F.col("block").alias("_block"), "gram").join(ratios, "gram")
+            word = np.bincount(word_at, gram[at], len(vocabulary)).astype(np.int64)
+            doc, number = np.divmod(pairs, len(vocabulary))
+            np.add.at(total, doc, word[number] * times)
+            np.maximum.at(best, doc, own[number])
+        out += [total * UNIT / size, best * UNIT]
+    return pa.table([pa.array([d[c] for d in docs], schema.field(c).type) for c in ("id", "key", "half", "label")] +
+                    [pa.array(x) for x in out], schema=schema)
+
+
+def text_ratios(held: DataFrame, ratios: DataFrame, words: DataFrame) -> DataFrame:
+    """(id, key, half, label, and the ``FEATURES``) of each document. The mean is over the
+    characters of the words, a word's end counted as one, and the prior's. ``words``: (block, gram,
+    h0, h1) of the words that have a ratio; others have 0."""
+    grams = (held.where("gram is not null").select(F.col("block").alias("_block"), "gram").join(ratios, "gram")
+             .select("_block", "gram", *MODELS).unionByName(words.select(F.col("block").alias("_block"), "gram", *MODELS)))
     docs = held.where("gram is null").select("block", "words", "places", "docs")
+    doc = docs.schema["docs"].dataType.elementType
+    kind = ", ".join([f"{c} {doc[c].dataType.simpleString()}" for c in ("id", "key", "half", "label")] +
+                     [f"{f} double" for f in FEATURES])
+    schema = to_arrow_schema(_parsed(held, kind))
     return docs.groupBy("block").cogroup(grams.groupBy("_block")).applyInArrow(
-        _add_up, "key string, half int, label int, " + ", ".join(f"{m} double" for m in MODELS))
+        lambda block, found: _add_up(block, found, schema), kind)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 100) -> tuple[float, float]:
-    """Slope and constant, by damped Newton steps on the standardised ratio."""
-    mean, scale = x.mean(), x.std() or 1.0
-    a = np.stack([(x - mean) / scale, np.ones(len(x))], axis=1)
-    b = np.zeros(2)
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 100) -> tuple[list[float], float]:
+    """Slopes and constant, by damped Newton steps on the standardised ratios."""
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    scale[scale == 0] = 1.0
+    a = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
+    b = np.zeros(a.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ b, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(2), a.T @ (y - p) - ridge * b)
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(b)), a.T @ (y - p) - ridge * b)
         b += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
-    return float(b[0] / scale), float(b[1] - b[0] * mean / scale)
+    return (b[:-1] / scale).tolist(), float(b[-1] - (b[:-1] * mean / scale).sum())
 
 
 def _scores(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int,
             max_labelled: int) -> DataFrame | float:
-    """(key, score) of each distinct text; or a constant score where a class has no labels."""
+    """(id, key, score) of each row; or a constant score where a class has no labels."""
     held = blocks(docs, labelled_sample(labels, id_col, label_col, folds, max_labelled), id_col, text_col)
     counts = _kept(gram_counts(held))
     ordinary, toxic = counts.agg(F.sum(F.col("n00") + F.col("n10")), F.sum(F.col("n01") + F.col("n11"))).first()
@@ -352,31 +452,39 @@ def _scores(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
         return 0.0
     if not ordinary:
         return 1.0
-    texts = _kept(text_ratios(held, gram_ratios(counts)))
-    # two numbers for each row of the bounded sample, in a fixed order
-    other = F.when(F.col("half") == 0, F.col("h1")).otherwise(F.col("h0"))
-    seen = texts.where("label is not null").select(other.alias("x"), F.col("label").alias("y")).toPandas().sort_values(["x", "y"])
-    slope, base = _logistic(seen["x"].to_numpy(), seen["y"].to_numpy())
-    z = F.lit(slope) * F.col("all") + F.lit(base)
-    return texts.groupBy("key").agg(F.max(1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))))).alias("score"))
+    places, words, totals = expressions(held)
+    said = word_ratios(words, totals).where("h0 > 0 or h1 > 0")
+    texts = _kept(text_ratios(held, gram_ratios(counts), places.join(said, "gram")))
+    # three numbers for each row of the bounded sample, in a fixed order
+    other = [F.when(F.col("half") == 0, F.col(f"{x}_h1")).otherwise(F.col(f"{x}_h0")).alias(x) for x in ("mean", "best")]
+    seen = texts.where("label is not null").select(*other, "label").toPandas().sort_values(["mean", "best", "label"])
+    slopes, base = _logistic(seen[["mean", "best"]].to_numpy(), seen["label"].to_numpy())
+    z = sum((F.col(f) * F.lit(slopes[k % 2] / len(MODELS)) for k, f in enumerate(FEATURES)), F.lit(base))
+    return texts.select("id", "key", (1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))))).alias("score"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic", folds: int = 5, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """Per row: id, held_out, score, predicted. ``labels``: the id and a 0/1 label."""
     scores = _scores(docs, labels, id_col, text_col, label_col, folds, max_labelled)
-    rows = docs.select(F.col(id_col).alias("_id"), _text_key(whole_text(text_col)).alias("key"))
-    scored = rows.withColumn("score", F.lit(scores)) if isinstance(scores, float) else rows.join(scores, "key")
-    return scored.select(F.col("_id").alias(id_col),
-                         (F.coalesce(hash_fold("_id", folds), F.lit(0)) == 0).alias("held_out"),
+    scored = (docs.select(F.col(id_col).alias("id"), F.lit(scores).alias("score")) if isinstance(scores, float)
+              else scores.select("id", "score"))
+    return scored.select(F.col("id").alias(id_col),
+                         (F.coalesce(hash_fold("id", folds), F.lit(0)) == 0).alias("held_out"),
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+#: Texts to drop that are broadcast at most, by their 128-bit hash; more are joined by it.
+BROADCAST_KEYS = 1 << 20
+
+
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                label_col: str = "toxic", folds: int = 5, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
     scores = _scores(docs, labels, id_col, text_col, label_col, folds, max_labelled)
     if isinstance(scores, float):
         return docs.where(F.lit(scores < 0.5))
-    toxic = scores.where("score >= 0.5").select(F.col("key").alias("_key"))
+    toxic = cut_lineage(scores.where("score >= 0.5").select(F.col("key").alias("_key")).distinct())
+    # whole texts are shuffled only where the hashes of what goes are too many
+    toxic = F.broadcast(toxic) if toxic.count() <= BROADCAST_KEYS else toxic
     return docs.join(toxic, _text_key(whole_text(text_col)) == F.col("_key"), "left_anti")
