@@ -191,18 +191,18 @@ def q_trigram_similarity(spark, sf):
 
 # ------------------------------------------------------------------ D1, D2, D3
 
-_CUST_SQL = """gz AS (SELECT c_custkey AS entity_id, c_name AS name, n_name AS address
+_CUST_SQL = f"""gz AS (SELECT c_custkey AS entity_id, c_name AS name, n_name AS address
        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
 mall AS (SELECT DISTINCT mention FROM (
            SELECT CASE c_custkey % 3 WHEN 0 THEN c_name WHEN 1 THEN left(c_name, length(c_name) - 1)
                   ELSE replace(c_name, 'Customer', 'Custmoer') END AS mention FROM customer
-           UNION ALL SELECT p_name FROM part))"""
+           UNION ALL SELECT p_name FROM part)),
+pairs AS (SELECT mention, entity_id, name, address, {sim('mt', 'gt')} AS c
+          FROM (SELECT mention, {trigrams('mention')} AS mt FROM mall), (SELECT *, {trigrams('name')} AS gt FROM gz))"""
 
 _FUZZY_SQL = f"""{_CUST_SQL},
-cand AS (SELECT m.mention, g.entity_id, g.name, g.address, {sim(trigrams('m.mention'), trigrams('g.name'))} AS c
-         FROM mall m, gz g),
 best AS (SELECT mention, arg_max(entity_id, (c, -entity_id)) AS entity_id, arg_max(name, (c, -entity_id)) AS matched_name,
-                max(c) AS confidence FROM cand WHERE c > {d(0.75)} GROUP BY mention)"""
+                max(c) AS confidence FROM pairs WHERE c > {d(0.75)} GROUP BY mention)"""
 
 
 @register("exact_resolve", f"""
@@ -241,9 +241,8 @@ def q_fuzzy_search_sql(spark, sf):
                      "round(fuzzy_search_similarity(mention, matched_name), 9) AS pair_similarity FROM fuzzy_search_matches")
 
 
-_NEAREST_SQL = f"""best AS (SELECT mention, arg_max(entity_id, (c, -entity_id)) AS entity_id, arg_max(name, (c, -entity_id)) AS matched_name,
-                max(c) AS confidence FROM (SELECT m.mention, g.entity_id, g.name, {sim(trigrams('m.mention'), trigrams('g.name'))} AS c
-                                           FROM mall m, gz g) WHERE c > 0 GROUP BY mention)"""
+_NEAREST_SQL = """best AS (SELECT mention, arg_max(entity_id, (c, -entity_id)) AS entity_id, arg_max(name, (c, -entity_id)) AS matched_name,
+                max(c) AS confidence FROM pairs WHERE c > 0 GROUP BY mention)"""
 
 
 @register("nearest_match", f"""
@@ -257,7 +256,7 @@ def q_nearest_match(spark, sf):
 
 @register("resolve_mentions", f"""
 WITH {_FUZZY_SQL},
-near AS (SELECT mention, arg_max(name, (c, -entity_id)) AS name FROM cand WHERE c > 0 GROUP BY mention),
+near AS (SELECT mention, arg_max(name, (c, -entity_id)) AS name FROM pairs WHERE c > 0 GROUP BY mention),
 allm AS (SELECT DISTINCT mention FROM (SELECT mention FROM mall UNION ALL SELECT name FROM gz)),
 ex AS (SELECT a.mention, min(g.entity_id) AS entity_id FROM allm a JOIN gz g ON g.name = a.mention GROUP BY a.mention)
 SELECT a.mention, coalesce(ex.entity_id, b.entity_id) AS entity_id,
