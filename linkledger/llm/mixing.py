@@ -173,12 +173,3 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     taken = _mixed(rows, weights, max_repeat, ("_row",)).where("copies > 0").select(F.col("_row").alias("_at"), "copies")
     return (held.join(taken, F.col("_row") == F.col("_at"))
             .select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).select("_doc.*"))
-
-
-def take_copies(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, each as often as ``mix`` takes it. Rows that share an id are
-    all taken as often as the one that is taken most; a row with a null id is not taken."""
-    n = mix.groupBy(F.col(id_col).alias("_mixed_id")).agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    return (docs.join(n, F.col(id_col) == F.col("_mixed_id"))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-            .drop("_mixed_id", "_copies", "_copy"))
