@@ -46,7 +46,9 @@ def q_saved_pages(spark, sf):
     """Every page, landed as one JSON document a file and read back."""
     p = inputs.table(spark, sf, "pages", "url", "html")
     path = f"{scratch_root(spark, 'saved-pages')}/pages"
-    p.select(F.to_json(F.struct("url", "html"), {"pretty": "true"}).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    # tasks put their files in place, else the driver moves all of them one by one
+    (p.select(F.to_json(F.struct("url", "html"), {"pretty": "true"}).alias("value")).write.option("maxRecordsPerFile", 1)
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path))
     return read_saved_pages(spark, path).select("url", F.md5(F.col("html").cast("binary")).alias("html_md5"),
                                                 F.length("html").cast("long").alias("n_chars"))
 
