@@ -12,7 +12,7 @@ from ..operators.frontier import one_fetch
 from ..sources import search as srch
 from ..session import scratch_root
 from ..sources.seeds import read_json_lines, seed_batch
-from ..sources.snapshots import read_saved_pages
+from ..sources.snapshots import read_saved_folders, write_saved_pages
 from . import inputs
 from .q_urls import AS_OF, _FRONTIER_SQL, validated
 from .registry import ROUND, register
@@ -44,13 +44,10 @@ def q_seed_scan(spark, sf):
 SELECT url, md5(html) AS html_md5, length(html) AS n_chars FROM pages""")
 def q_saved_pages(spark, sf):
     """Every page, landed as one JSON document a file and read back."""
-    p = inputs.table(spark, sf, "pages", "url", "html")
-    path = f"{scratch_root(spark, 'saved-pages')}/pages"
-    # tasks put their files in place, else the driver moves all of them one by one
-    (p.select(F.to_json(F.struct("url", "html"), {"pretty": "true"}).alias("value")).write.option("maxRecordsPerFile", 1)
-     .option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path))
-    return read_saved_pages(spark, path).select("url", F.md5(F.col("html").cast("binary")).alias("html_md5"),
-                                                F.length("html").cast("long").alias("n_chars"))
+    root = scratch_root(spark, "saved-pages")
+    write_saved_pages(inputs.table(spark, sf, "pages", "url", "html"), f"{root}/pages")
+    return read_saved_folders(spark, f"{root}/pages", f"{root}/profile", lambda p: p.select(
+        "url", F.md5(F.col("html").cast("binary")).alias("html_md5"), F.length("html").cast("long").alias("n_chars")))
 
 
 # ------------------------------------------------------------------ A2, A3, B11

@@ -81,6 +81,45 @@ def test_snapshots_and_saved_pages(spark, tmp_path):
     assert read_saved_pages(spark, str(pdir)).first()["url"] == "https://a.com"
 
 
+def test_saved_pages_are_read_in_rounds(spark, tmp_path, monkeypatch):
+    """No read of the query has more files than a round, and every page has a file of its own."""
+    import hashlib
+
+    from linkledger.plans import catalog  # noqa: F401
+    from linkledger.plans.registry import QUERIES
+    from linkledger.sources import snapshots
+
+    monkeypatch.setattr(snapshots, "PAGES_PER_FOLDER", 4)
+    monkeypatch.setattr(snapshots, "FOLDERS_PER_ROUND", 2)
+    reads = []
+
+    def read(spark, path, plain=read_saved_pages):
+        reads.append(plain(spark, path))
+        return reads[-1]
+
+    monkeypatch.setattr(snapshots, "read_saved_pages", read)
+    rows = [(i, f"https://a.org/{i}", f"<p>é\n{i} \"x\"</p>") for i in range(19)]
+    rows += [(19, None, "<p>"), (20, "https://a.org/n", None), (21, None, None), (3, *rows[3][1:])]
+    (spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+     .write.parquet(str(tmp_path / "pages.parquet")))
+    got = [tuple(r) for r in QUERIES["saved_pages"](spark, str(tmp_path)).collect()]
+    exp = [(u, h and hashlib.md5(h.encode()).hexdigest(), h and len(h)) for _, u, h in rows]
+    assert sorted(got, key=str) == sorted(exp, key=str)
+    files = [f for df in reads for f in df.inputFiles()]
+    assert len(reads) >= 3 and max(len(df.inputFiles()) for df in reads) <= 8
+    assert len(files) == len(set(files)) == len(rows)
+    assert spark.conf.get(snapshots.LISTING_CACHE) != "0"
+
+
+def test_saved_pages_of_an_empty_table(spark, tmp_path):
+    from linkledger.plans import catalog  # noqa: F401
+    from linkledger.plans.registry import QUERIES
+
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    out = QUERIES["saved_pages"](spark, str(tmp_path))
+    assert out.columns == ["url", "html_md5", "n_chars"] and out.collect() == []
+
+
 def test_stream_equals_batch_across_micro_batches(spark, tmp_path):
     rows = [(i, f"https://d{i % 3}.example.org/p{i % 7}?q={i}", ((i * 7) % 11) / 10.0) for i in range(60)]
     src = tmp_path / "landed"
